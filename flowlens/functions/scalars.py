@@ -51,11 +51,11 @@ def dotted_quad(n) -> Column:
     return F.concat_ws(".", *[p.cast("string") for p in parts])
 
 
-def decimal_to_ip(x) -> Column:
+def decimal_to_ip(x, numeric: bool = False) -> Column:
     """Decimal address (number or text) -> dotted quad; anything not in
     1..4294967295 after truncation (null, text, 0, negative, too big) gives
-    '0.0.0.0'."""
-    d = tc(_c(x).cast("string"), "double")
+    '0.0.0.0'.  ``numeric`` skips the text parse for numeric input."""
+    d = _c(x).cast("double") if numeric else tc(_c(x).cast("string"), "double")
     ok = (d >= F.lit(1.0)) & (d < F.lit(4294967296.0)) & ~F.isnan(d)
     return F.when(ok, dotted_quad(F.floor(d))).otherwise(F.lit("0.0.0.0"))
 
@@ -133,9 +133,12 @@ def transport_layer(name) -> Column:
 
 # ---------------------------------------------------------------- labels
 
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
 def py_strip(x) -> Column:
-    """Strip leading/trailing whitespace like ``str.strip``."""
-    return F.regexp_replace(_c(x), r"^\s+|\s+$", "")
+    """Strip leading/trailing whitespace like ``str.strip`` (ASCII set)."""
+    return F.btrim(_c(x), F.lit(WHITESPACE))
 
 
 def normalise_label(label) -> Column:
@@ -143,32 +146,44 @@ def normalise_label(label) -> Column:
     return F.coalesce(lookup(L.LABEL_VARIANTS, s), s)
 
 
-def _prefix_pattern() -> str:
-    alts = "|".join(p.replace(" ", "[ ]") for p, _ in L.CATEGORY_PREFIXES)
-    return f"^({alts})"
+def label_key(label) -> Column:
+    """Lower-cased, stripped label: the lookup key of the category rules."""
+    return py_strip(F.lower(_c(label)))
+
+
+def label_base(key) -> Column:
+    """The key without the ' - attempted' suffix."""
+    return py_strip(F.replace(_c(key), F.lit(L.ATTEMPTED_SUFFIX), F.lit("")))
 
 
 def categorize_label(label) -> Column:
     """Exact lower-case lookup, then without ' - attempted', then the first
     matching prefix rule ('bot' matches exactly), else Unknown."""
-    key = py_strip(F.lower(_c(label)))
-    return category_from_key(key)
-
-
-def category_from_key(key: Column) -> Column:
-    base = py_strip(F.replace(key, F.lit(L.ATTEMPTED_SUFFIX), F.lit("")))
-    # the alternation is tried left to right, as the rules are
-    prefix = F.regexp_extract(base, _prefix_pattern(), 1)
-    by_prefix = F.coalesce(lookup(dict(L.CATEGORY_PREFIXES), prefix),
-                           F.when(base == F.lit("bot"), F.lit("Botnet")),
-                           F.lit(L.UNKNOWN_CATEGORY))
-    return F.coalesce(lookup(L.CATEGORY_OF_LABEL, key), lookup(L.CATEGORY_OF_LABEL, base), by_prefix)
+    key = label_key(label)
+    return category_from_key(key, label_base(key))
+
+
+def category_from_key(key, base) -> Column:
+    """Category from precomputed key/base columns (pass column names to let
+    the optimizer evaluate them once)."""
+    key, base = _c(key), _c(base)
+    rule = None
+    for prefix, cat in L.CATEGORY_PREFIXES:
+        cond = base.startswith(prefix)
+        if cat == "Botnet":
+            cond = cond | (base == F.lit("bot"))
+        rule = F.when(cond, F.lit(cat)) if rule is None else rule.when(cond, F.lit(cat))
+    rule = rule.otherwise(F.lit(L.UNKNOWN_CATEGORY))
+    return F.coalesce(lookup(L.CATEGORY_OF_LABEL, key), lookup(L.CATEGORY_OF_LABEL, base), rule)
+
+
+def severity_from_key(key, category) -> Column:
+    return F.coalesce(lookup(L.SEVERITY_OF_LABEL, _c(key)),
+                      lookup(L.SEVERITY_OF_CATEGORY, _c(category)), F.lit("LOW"))
 
 
 def label_severity(label, category) -> Column:
-    key = py_strip(F.lower(_c(label)))
-    return F.coalesce(lookup(L.SEVERITY_OF_LABEL, key),
-                      lookup(L.SEVERITY_OF_CATEGORY, _c(category)), F.lit("LOW"))
+    return severity_from_key(label_key(label), category)
 
 
 def coerce_severity(sev) -> Column:

@@ -27,9 +27,9 @@ NUMERIC_RAW = ["src_port", "dst_port", "flow_duration", "fwd_packets", "bwd_pack
                "fwd_bytes", "bwd_bytes", "flow_bytes_per_sec", "flow_packets_per_sec"]
 
 
-def _to_ip(col: str, ip_format: str) -> Column:
+def _to_ip(col: str, ip_format: str, numeric: bool = False) -> Column:
     if ip_format == "decimal":
-        return S.decimal_to_ip(col)
+        return S.decimal_to_ip(col, numeric)
     if ip_format == "dotted":
         return S.py_strip(F.col(col).cast("string"))
     return F.when(S.looks_decimal_ip(col), S.decimal_to_ip(col)).otherwise(
@@ -77,8 +77,10 @@ def clean_flows(raw: DataFrame, ip_format: str = "auto", chunk_size: int = L.REA
     if observation is not None:
         df = df.observe(observation, F.count(F.lit(1)).alias("rows_before"))
     # 1. addresses: decimal -> dotted quad (a missing decimal becomes 0.0.0.0)
-    df = df.withColumns({"source_ip": _to_ip("src_ip_raw", ip_format),
-                         "destination_ip": _to_ip("dst_ip_raw", ip_format)})
+    def numeric(c):
+        return isinstance(raw.schema[c].dataType, (T.LongType, T.IntegerType, T.DoubleType))
+    df = df.withColumns({"source_ip": _to_ip("src_ip_raw", ip_format, numeric("src_ip_raw")),
+                         "destination_ip": _to_ip("dst_ip_raw", ip_format, numeric("dst_ip_raw"))})
     # 2. +-Infinity (and NaN) -> null
     df = df.withColumns({c: _finite(c) for c in ("flow_bytes_per_sec", "flow_packets_per_sec")})
     # 3. drop rows without addresses, label or timestamp
@@ -106,12 +108,16 @@ def clean_flows(raw: DataFrame, ip_format: str = "auto", chunk_size: int = L.REA
     # 6. protocol number -> name (text that is not a number -> OTHER)
     df = df.withColumn("protocol", S.protocol_name(S.protocol_code("protocol_raw")))
     # 7. label variants, category, severity
+    # (key / base / geo are their own columns so each is evaluated once)
     df = df.withColumn("label", S.normalise_label(F.col("label_raw").cast("string")))
-    df = df.withColumn("attack_category", S.categorize_label("label"))
-    df = df.withColumn("severity", S.label_severity("label", "attack_category"))
+    df = df.withColumn("_key", S.label_key("label"))
+    df = df.withColumn("_base", S.label_base("_key"))
+    df = df.withColumn("attack_category", S.category_from_key("_key", "_base"))
+    df = df.withColumn("severity", S.severity_from_key("_key", "attack_category"))
     # 8. pseudo geolocation
-    df = df.withColumns({"source_country": S.geo_country("source_ip"),
-                         "source_region": S.geo_region("source_ip")})
+    df = df.withColumn("_geo", S.geo("source_ip"))
+    df = df.withColumns({"source_country": F.col("_geo.country"),
+                         "source_region": F.col("_geo.region")})
     out = to_event(df)
     if observation is not None:
         out = out.observe(Observation() if observation is None else _after(observation),

@@ -42,16 +42,16 @@ class Tables(dict):
         return list(self._builders)
 
 
-def tables_from_events(flow_events: DataFrame, trusted_lookups: bool = False) -> Tables:
+def tables_from_events(flow_events: DataFrame, trusted_lookups: bool = False,
+                       raw: DataFrame | None = None, validated: bool = False) -> Tables:
     """Models over flow events (18 fields + event_id).  ``trusted_lookups``
     when they come from ``clean_flows`` (lookup-valued columns are valid by
     construction)."""
-    def g(name):
-        return lambda t: graph.property_graph(t["events"])[name]
-
     b = {
         "flow_events": lambda t: flow_events,
-        "events": lambda t: validate.valid_events(t["flow_events"], trusted_lookups),
+        "raw_flows": lambda t: raw,
+        "events": (lambda t: t["flow_events"]) if validated else
+                  (lambda t: validate.valid_events(t["flow_events"], trusted_lookups)),
         "rejected": lambda t: validate.rejected_events(t["flow_events"], trusted_lookups),
         "dim_time": lambda t: star.dim_time(t["events"]),
         "dim_source": lambda t: star.dim_source(t["events"]),
@@ -75,13 +75,26 @@ def tables_from_events(flow_events: DataFrame, trusted_lookups: bool = False) ->
 def build_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """Every model derived from ``{sf_dir}/events.parquet`` via the adapter."""
     raw = adapter.raw_flows(spark, sf_dir)
-    return tables_from_events(clean.clean_flows(raw, ip_format="decimal"), trusted_lookups=True)
+    return tables_from_events(clean.clean_flows(raw, ip_format="decimal"), trusted_lookups=True,
+                              raw=raw)
 
 
 def write_tables(t: Tables, path: str, names: list[str] | None = None) -> None:
-    """Materialise tables as parquet under ``path`` (overwrite)."""
-    for name in names or MODEL_ORDER:
-        t[name].write.mode("overwrite").parquet(f"{path}/{name}")
+    """Materialise tables as parquet under ``path`` (overwrite).
+
+    The validated events are written first and every model is built from
+    that written table: lineage is cut there (a lost executor recomputes
+    from the stored events, not from the raw input) and cleaning runs once.
+    """
+    names = list(names or MODEL_ORDER)
+    t["events"].write.mode("overwrite").parquet(f"{path}/events")
+    spark = t["events"].sparkSession
+    stored = tables_from_events(spark.read.parquet(f"{path}/events"), validated=True)
+    for name in names:
+        if name == "events":
+            continue
+        src = t if name == "rejected" else stored
+        src[name].write.mode("overwrite").parquet(f"{path}/{name}")
 
 
 def read_tables(spark: SparkSession, path: str, names: list[str] | None = None) -> dict:

@@ -511,3 +511,56 @@ def q12_g(t):
     return (_active_in(t).filter(F.col("attack_category") == "Botnet")
             .groupBy("hour_bucket").agg(F.sum("event_count").alias("bot_events"))
             .orderBy("hour_bucket"))
+
+
+def q8_g(t, limit: int = 20, start_threshold: int | None = None) -> DataFrame:
+    """Address pairs sharing attack labels (any label, BENIGN included), top
+    ``limit`` by number of shared labels, then (ip1, ip2).
+
+    The pair relation is never materialised in full.  Overlap-threshold
+    prefix filtering (order labels rarest first; two label sets with overlap
+    >= k must share a label among the first |L| - k + 1 of each) yields every
+    pair with overlap >= k from a join on those prefix entries only.  k
+    starts at the largest possible overlap and is lowered until at least
+    ``limit`` pairs reach it; the pairs with overlap >= k are then complete,
+    so the top ``limit`` is exact.  Each round is one Spark job; the driver
+    only reads a count.
+    """
+    ipl = t["e_used_attack"].select("src_ip", "label").distinct()
+    freq = ipl.groupBy("label").agg(F.count(F.lit(1)).alias("f"))
+    lw = Window.partitionBy("src_ip").orderBy("f", "label")
+    ranked = (ipl.join(freq, "label")
+              .withColumn("pos", F.row_number().over(lw))
+              .withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("src_ip"))))
+    ranked = ranked.persist()   # reused by every round; small (one row per address and label)
+    if start_threshold is None:
+        sizes = ranked.select("src_ip", "size").distinct()
+        # the largest overlap a pair can have is the second largest set size
+        top2 = sizes.orderBy(F.desc("size")).limit(2).agg(F.min("size")).first()[0]
+        start_threshold = int(top2 or 1)
+    k = max(int(start_threshold), 1)
+    while True:
+        pairs = _pairs_with_overlap(ranked, ipl, k)
+        if k == 1 or pairs.limit(limit).count() >= limit:
+            break
+        k -= 1
+    v = t["v_source_ip"].select("ip", "country")
+    out = (pairs.join(v.select(F.col("ip").alias("ip1"), F.col("country").alias("country1")), "ip1")
+           .join(v.select(F.col("ip").alias("ip2"), F.col("country").alias("country2")), "ip2")
+           .select("ip1", "country1", "ip2", "country2", "shared_attacks", "shared_count"))
+    return C.top(out, limit, F.desc("shared_count"), "ip1", "ip2")
+
+
+def _pairs_with_overlap(ranked: DataFrame, ipl: DataFrame, k: int) -> DataFrame:
+    pre = ranked.filter((F.col("size") >= k) & (F.col("pos") <= F.col("size") - k + 1)) \
+        .select("src_ip", "label")
+    a, b = pre.alias("a"), pre.alias("b")
+    cand = (a.join(b, (F.col("a.label") == F.col("b.label")) & (F.col("a.src_ip") < F.col("b.src_ip")))
+            .select(F.col("a.src_ip").alias("ip1"), F.col("b.src_ip").alias("ip2")).distinct())
+    l1 = ipl.select(F.col("src_ip").alias("ip1"), "label")
+    l2 = ipl.select(F.col("src_ip").alias("ip2"), "label")
+    shared = cand.join(l1, "ip1").join(l2, ["ip2", "label"])
+    return (shared.groupBy("ip1", "ip2")
+            .agg(F.count(F.lit(1)).alias("shared_count"),
+                 F.array_sort(F.collect_list("label")).alias("shared_attacks"))
+            .filter(F.col("shared_count") >= k))

@@ -19,6 +19,10 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
+    # generated methods above 8 KB are never JIT-compiled by HotSpot; let
+    # Spark split such stages instead of running them interpreted
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -40,6 +44,7 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     """Session settings the results depend on (time zone = wall clock, ANSI)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.ansi.enabled", "true")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

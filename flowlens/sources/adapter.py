@@ -37,13 +37,28 @@ def _pick(index: Column, values: list) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster has
+    cores (a small file with one row group is one task).  Large inputs, with
+    many splits already, are left alone: no shuffle is added there."""
+    sc = df.sparkSession.sparkContext
+    cores = sc.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def events_to_raw_flows(events: DataFrame) -> DataFrame:
+    # parse the JSON field once; the optimizer keeps this projection separate
+    # because ``k`` is used many times and is not cheap to recompute
+    events = events.select("event_id", "ts", "user_id", "event_type", "value",
+                           F.get_json_object("props", "$.k").cast("bigint").alias("k"))
     e = F.col("event_id")
-    k = F.get_json_object("props", "$.k").cast("bigint")
+    k = F.col("k")
     v = F.col("value")
     label = F.when(F.col("event_type").isin(*BENIGN_TYPES), F.lit("BENIGN"))
     for etype, labels in ATTACK_LABELS.items():

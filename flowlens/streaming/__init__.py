@@ -1,0 +1 @@
+"""Structured Streaming: event stream, windowed aggregates, fan-out."""
