@@ -150,3 +150,31 @@ BUILDERS = {
 
 def all_summaries(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return {name: build(t) for name, build in BUILDERS.items()}
+
+
+def refresh_all(t: dict[str, DataFrame], path: str) -> dict[str, str]:
+    """Rebuild all six summaries under ``path``; one failing summary does not
+    stop the others.  Returns {summary: 'ok' | error text}."""
+    status = {}
+    for name, build in BUILDERS.items():
+        try:
+            build(t).write.mode("overwrite").parquet(f"{path}/{name}")
+            status[name] = "ok"
+        except Exception as e:  # noqa: BLE001
+            status[name] = str(e)[:500]
+    return status
+
+
+class RefreshPolicy:
+    """Refresh after every ``every_rows`` inserted rows (and at the end)."""
+
+    def __init__(self, every_rows: int = L.SUMMARY_REFRESH_ROWS):
+        self.every_rows = every_rows
+        self.pending = 0
+
+    def add(self, rows: int) -> bool:
+        self.pending += rows
+        if self.pending >= self.every_rows:
+            self.pending = 0
+            return True
+        return False

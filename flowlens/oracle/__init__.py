@@ -122,6 +122,17 @@ SELECT 'relationships', (SELECT COUNT(*) FROM (SELECT DISTINCT source_ip, destin
   + (SELECT COUNT(*) FROM (SELECT DISTINCT destination_ip, label FROM ev))
   + (SELECT COUNT(*) FROM (SELECT DISTINCT source_ip, protocol FROM ev))
   + (SELECT COUNT(*) FROM (SELECT DISTINCT label, hour_bucket FROM ev))"""
+    b["summary_hourly_incremental"] = b["doc_hourly_summary"]
+    b["edge_merge_two_batches"] = b["e_attacked"]
+    b["dim_upsert_two_batches"] = """
+SELECT source_ip, source_port, arg_min(source_country, k) AS country, arg_min(source_region, k) AS region,
+  CASE WHEN TRY_CAST(split_part(source_ip, '.', 1) AS INTEGER) IS NULL THEN 'Unknown'
+       WHEN TRY_CAST(split_part(source_ip, '.', 1) AS INTEGER) < 128 THEN 'A'
+       WHEN TRY_CAST(split_part(source_ip, '.', 1) AS INTEGER) < 192 THEN 'B'
+       WHEN TRY_CAST(split_part(source_ip, '.', 1) AS INTEGER) < 224 THEN 'C'
+       WHEN TRY_CAST(split_part(source_ip, '.', 1) AS INTEGER) < 240 THEN 'D' ELSE 'E' END AS ip_class
+FROM (SELECT *, (CASE WHEN hour(timestamp) < 12 THEN 0 ELSE 1 END, event_id) AS k FROM ev)
+GROUP BY source_ip, source_port"""
     # ------------------------------------------------------------ summaries
     b["summary_attack_hourly"] = """
 SELECT hour_bucket, attack_category, attack_label, event_count, total_bytes,

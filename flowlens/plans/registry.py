@@ -47,6 +47,35 @@ def _graph_counts(t) -> DataFrame:
     return u.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _two_batches(t, frame: str):
+    """Split a table into two batches covering every row (by hour of day)."""
+    f = t[frame]
+    return f.filter(F.hour("timestamp") < 12), f.filter(F.hour("timestamp") >= 12)
+
+
+def _summary_hourly_incremental(t) -> DataFrame:
+    from ..operators import upsert
+    a, b = _two_batches(t, "documents")
+    m = upsert.merge_hourly_documents(nested.hourly_document_summary(a),
+                                      nested.hourly_document_summary(b))
+    return m.select("hour_bucket", "attack_label", "event_count", "total_bytes", "attack_category")
+
+
+def _edge_merge(t) -> DataFrame:
+    from ..operators import graph, upsert
+    a, b = _two_batches(t, "graph_input")
+    return upsert.merge_edges(graph.e_attacked(a), graph.e_attacked(b), ["src_ip", "dst_ip"]) \
+        .select("src_ip", "dst_ip", "count", "total_bytes", "first_seen", "last_seen")
+
+
+def _dim_upsert(t) -> DataFrame:
+    from ..operators import upsert
+    a, b = _two_batches(t, "events")
+    d1 = star.dim_source(a).drop("source_key")
+    d2 = star.dim_source(b).drop("source_key")
+    return upsert.insert_new_keys(d1, d2, ["source_ip", "source_port"])
+
+
 def registry() -> dict[str, Callable]:
     r: dict[str, Callable] = {
         "clean_flows": lambda t: t["flow_events"],
@@ -61,6 +90,9 @@ def registry() -> dict[str, Callable]:
                  "e_attacked", "e_used_attack", "e_targeted_by", "e_used_protocol", "e_active_in"):
         r[name] = (lambda n: lambda t: t[n])(name)
     r["graph_counts"] = _graph_counts
+    r["summary_hourly_incremental"] = _summary_hourly_incremental
+    r["edge_merge_two_batches"] = _edge_merge
+    r["dim_upsert_two_batches"] = _dim_upsert
     for name in ("summary_attack_hourly", "summary_top_sources", "summary_protocol_daily",
                  "summary_severity_daily", "summary_dest_port_daily", "summary_weekend_weekday"):
         r[name] = (lambda n: lambda t: C.decimals_to_double(t[n]))(name)

@@ -58,3 +58,20 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
 def good_events(parsed: DataFrame) -> DataFrame:
     from ..operators.clean import EVENT_COLUMNS
     return parsed.filter(F.col("_parse_error").isNull()).select(*EVENT_COLUMNS)
+
+
+def write_messages(events: DataFrame, path: str) -> None:
+    """Publish cleaned events as JSON lines (sorted by time within each
+    partition, as the producer sorts each chunk)."""
+    from ..operators.clean import sort_chunk
+    to_message(sort_chunk(events)).select("value").write.mode("overwrite").text(path)
+
+
+def stream_messages(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None):
+    """Streaming source over a folder of JSON-lines files: parsed events with
+    ``_parse_error``; the sentinel record is dropped."""
+    r = spark.readStream.format("text")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    lines = r.load(directory)
+    return parse_messages(lines, "value")
