@@ -67,8 +67,10 @@ def protocol_share(df: DataFrame, col: str = "protocol_raw") -> DataFrame:
     name = S.lookup(L.PROFILE_PROTOCOL_NAMES, code, "OTHER")
     g = df.groupBy(name.alias("protocol_name")).agg(F.count(F.lit(1)).alias("count"))
     from pyspark.sql import Window
+    from ..plans.common import q_half_up
+    # the total is a window over the handful of aggregated rows
     total = F.sum("count").over(Window.partitionBy())
-    return g.withColumn("pct", F.round(F.col("count") * 100.0 / total, 1))
+    return g.withColumn("pct", q_half_up(F.col("count") * 100, total, 1))
 
 
 def null_profile(df: DataFrame) -> DataFrame:
@@ -78,9 +80,9 @@ def null_profile(df: DataFrame) -> DataFrame:
     wide = df.agg(*aggs)
     rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("nulls")) for c in df.columns])
     long = wide.select("__n", F.inline(rows))
+    from ..plans.common import q_half_up
     return (long.filter(F.col("nulls") > 0)
-            .select("column_name", "nulls",
-                    F.round(F.col("nulls") * 100.0 / F.col("__n"), 2).alias("pct")))
+            .select("column_name", "nulls", q_half_up(F.col("nulls") * 100, F.col("__n"), 2).alias("pct")))
 
 
 def inf_profile(df: DataFrame) -> DataFrame:

@@ -430,6 +430,19 @@ SELECT label_raw AS label, COUNT(*) AS count FROM raw WHERE label_raw IS NOT NUL
     b["inf_profile"] = """
 SELECT * FROM (SELECT 'flow_bytes_per_sec' AS column_name, COUNT(*) FILTER (WHERE isinf(flow_bytes_per_sec)) AS inf_count FROM raw
 UNION ALL SELECT 'flow_packets_per_sec', COUNT(*) FILTER (WHERE isinf(flow_packets_per_sec)) FROM raw) WHERE inf_count > 0"""
+    raw_cols = ["event_id", "source_file", "ts_raw", "src_ip_raw", "dst_ip_raw", "src_port", "dst_port",
+                "protocol_raw", "flow_duration", "fwd_packets", "bwd_packets", "fwd_bytes", "bwd_bytes",
+                "flow_bytes_per_sec", "flow_packets_per_sec", "label_raw"]
+    src_of = {"src_ip_raw": "src_ip_dec", "dst_ip_raw": "dst_ip_dec", "source_file": "'events'"}
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {src_of.get(c, c)} IS NULL) AS nulls, COUNT(*) AS n FROM raw"
+        for c in raw_cols)
+    b["null_profile"] = f"""
+SELECT column_name, nulls, {HU('nulls * 100', 'n')} AS pct FROM ({parts}) WHERE nulls > 0"""
+    b["protocol_share"] = f"""
+SELECT protocol_name, count, {HU('count * 100', 'SUM(count) OVER ()', 1)} AS pct FROM (
+  SELECT CASE TRY_CAST(protocol_raw AS INTEGER) WHEN 6 THEN 'TCP' WHEN 17 THEN 'UDP' WHEN 0 THEN 'ICMP'
+         ELSE 'OTHER' END AS protocol_name, COUNT(*) AS count FROM raw GROUP BY 1)"""
     b["ts_range"] = """
 SELECT MIN(ts_raw) AS earliest, MAX(ts_raw) AS latest,
   CAST(epoch_us(MAX(ts_raw)) - epoch_us(MIN(ts_raw)) AS DOUBLE) / 1000000 AS span_seconds FROM raw"""

@@ -79,7 +79,7 @@ def build_tables(spark: SparkSession, sf_dir: str) -> Tables:
                               raw=raw)
 
 
-def write_tables(t: Tables, path: str, names: list[str] | None = None) -> None:
+def write_tables(t: Tables, path: str, names: list[str] | None = None, parallel: int = 4) -> None:
     """Materialise tables as parquet under ``path`` (overwrite).
 
     The validated events are written first and every model is built from
@@ -90,11 +90,20 @@ def write_tables(t: Tables, path: str, names: list[str] | None = None) -> None:
     t["events"].write.mode("overwrite").parquet(f"{path}/events")
     spark = t["events"].sparkSession
     stored = tables_from_events(spark.read.parquet(f"{path}/events"), validated=True)
+    todo = []
     for name in names:
         if name == "events":
             continue
         src = t if name == "rejected" else stored
-        src[name].write.mode("overwrite").parquet(f"{path}/{name}")
+        todo.append((name, src[name]))
+    # independent jobs: submitted concurrently so the scheduler can overlap
+    # their stages (each job is itself distributed)
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        futures = [pool.submit(df.write.mode("overwrite").parquet, f"{path}/{name}")
+                   for name, df in todo]
+        for f in futures:
+            f.result()
 
 
 def read_tables(spark: SparkSession, path: str, names: list[str] | None = None) -> dict:

@@ -31,7 +31,8 @@ def parse_messages(lines: DataFrame, value_col: str = "value", seq_col: str | No
     parsed = F.from_json(F.col(value_col), MESSAGE_SCHEMA, {"mode": "PERMISSIVE"})
     df = lines.select("*", parsed.alias("m"))
     is_sentinel = F.col("m._sentinel") == F.lit(L.END_OF_STREAM)
-    err = (F.when(F.col("m").isNull(), F.lit("not a JSON object"))
+    err = (F.when(F.col("m").isNull() | F.json_object_keys(F.col(value_col)).isNull(),
+                  F.lit("not a JSON object"))
            .when(F.col("m.timestamp").isNull(), F.lit("missing timestamp"))
            .when(S.iso_parse(F.col("m.timestamp")).isNull(), F.lit("timestamp is not parsable"))
            .when(F.col("m.label").isNull(), F.lit("missing label")))
