@@ -16,12 +16,12 @@ def insert_new_keys(stored: DataFrame, incoming: DataFrame, keys: list[str]) ->
     """Dimension upsert: rows whose key is already stored are skipped
     (first write wins)."""
     fresh = incoming.join(stored.select(*keys), on=keys, how="left_anti")
-    return stored.unionByName(fresh)
+    return stored.unionByName(fresh.select(*stored.columns))
 
 
 def replace_by_key(stored: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """Summary upsert: incoming rows replace stored rows with the same key."""
-    kept = stored.join(incoming.select(*keys), on=keys, how="left_anti")
+    kept = stored.join(incoming.select(*keys), on=keys, how="left_anti").select(*stored.columns)
     return kept.unionByName(incoming)
 
 
