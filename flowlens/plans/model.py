@@ -10,6 +10,7 @@ folder) and read them back with ``read_tables``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import clean, graph, nested, star, summaries, validate
 from ..sources import adapter
@@ -69,7 +70,10 @@ def tables_from_events(flow_events: DataFrame, trusted_lookups: bool = False,
         b[name] = (lambda fn: lambda t: fn(t["graph_input"]))(fn)
     for name, fn in summaries.BUILDERS.items():
         b[name] = (lambda fn: lambda t: fn(t))(fn)
-    return Tables(b)
+    tables = Tables(b)
+    tables.trusted_lookups = trusted_lookups
+    tables.validated = validated
+    return tables
 
 
 def build_tables(spark: SparkSession, sf_dir: str) -> Tables:
@@ -97,15 +101,26 @@ def write_tables(t: Tables, path: str, names: list[str] | None = None, parallel:
     from the stored events, not from the raw input) and cleaning runs once.
     """
     names = list(names or MODEL_ORDER)
-    t["events"].write.mode("overwrite").parquet(f"{path}/events")
-    spark = t["events"].sparkSession
+    spark = t["flow_events"].sparkSession
+    if getattr(t, "validated", False):
+        t["events"].write.mode("overwrite").parquet(f"{path}/events")
+    else:
+        # one pass: every cleaned row with its first error (no filter, so the
+        # cleaning is not re-evaluated inside a pushed-down predicate), then
+        # good rows and quarantine are split from the written table
+        checked = validate.with_errors(t["flow_events"], getattr(t, "trusted_lookups", False))
+        checked.write.mode("overwrite").parquet(f"{path}/_checked")
+        c = spark.read.parquet(f"{path}/_checked")
+        c.filter(F.col("_error").isNull()).drop("_error").write.mode("overwrite").parquet(f"{path}/events")
+        if "rejected" in names:
+            c.filter(F.col("_error").isNotNull()).select("event_id", "source_ip", "label", "_error") \
+                .write.mode("overwrite").parquet(f"{path}/rejected")
     stored = tables_from_events(spark.read.parquet(f"{path}/events"), validated=True)
     todo = []
     for name in names:
-        if name == "events":
+        if name in ("events", "rejected"):
             continue
-        src = t if name == "rejected" else stored
-        todo.append((name, src[name]))
+        todo.append((name, stored[name]))
     # independent jobs: submitted concurrently so the scheduler can overlap
     # their stages (each job is itself distributed)
     from concurrent.futures import ThreadPoolExecutor
