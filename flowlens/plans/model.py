@@ -137,3 +137,30 @@ def write_tables(t: Tables, path: str, names: list[str] | None = None, parallel:
 
 def read_tables(spark: SparkSession, path: str, names: list[str] | None = None) -> dict:
     return {name: spark.read.parquet(f"{path}/{name}") for name in names or MODEL_ORDER}
+
+
+_STORED: dict = {}
+
+
+def stored_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """All models for ``sf_dir``, written once per Spark application under
+    the shared checkpoint folder and read back; later calls reuse them.
+
+    Raw and cleaned-but-unvalidated rows stay lazy (they are one projection
+    of the input); everything else is read from the written tables.
+    """
+    from ..session import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        import uuid
+        lazy = build_tables(spark, sf_dir)
+        path = scratch_path(spark, f"warehouse-{uuid.uuid4().hex[:12]}")
+        write_tables(lazy, path)
+        st = tables_from_events(spark.read.parquet(f"{path}/events"), validated=True,
+                                raw=lazy["raw_flows"])
+        for name in MODEL_ORDER:
+            st[name] = spark.read.parquet(f"{path}/{name}")
+        st["flow_events"] = lazy["flow_events"]
+        st["raw_flows"] = lazy["raw_flows"]
+        _STORED[key] = st
+    return _STORED[key]
