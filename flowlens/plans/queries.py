@@ -577,3 +577,21 @@ def _pairs_with_overlap(ranked: DataFrame, ipl: DataFrame, k: int) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("shared_count"),
                  F.array_sort(F.collect_list("label")).alias("shared_attacks"))
             .filter(F.col("shared_count") >= k))
+
+
+def e_connected_to(t, min_shared: int) -> DataFrame:
+    """CONNECTED_TO edges: address pairs (ip1 < ip2) sharing at least
+    ``min_shared`` labels, with the sorted shared labels and their number.
+
+    Output-sensitive: the prefix filter only forms candidate pairs that can
+    reach ``min_shared``, so the work follows the size of the answer.  A low
+    threshold asks for (nearly) every pair of a label, which is quadratic by
+    definition; the top-k question is :func:`q8_g`.
+    """
+    ipl = t["e_used_attack"].select("src_ip", "label").distinct()
+    freq = ipl.groupBy("label").agg(F.count(F.lit(1)).alias("f"))
+    lw = Window.partitionBy("src_ip").orderBy("f", "label")
+    ranked = (ipl.join(freq, "label")
+              .withColumn("pos", F.row_number().over(lw))
+              .withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("src_ip"))))
+    return _pairs_with_overlap(ranked, ipl, max(int(min_shared), 1))

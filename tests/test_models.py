@@ -91,3 +91,15 @@ def test_quarantine_split_is_complete(tables):
     assert tables["events"].count() + tables["rejected"].count() == n
     errs = {r["_error"] for r in tables["rejected"].select("_error").distinct().collect()}
     assert errs <= {"source_port out of range 0-65535"}
+
+
+def test_connected_to_threshold_matches_brute_force(tables):
+    ipl = tables["e_used_attack"].select("src_ip", "label").distinct()
+    a, b = ipl.alias("a"), ipl.alias("b")
+    brute = (a.join(b, (F.col("a.label") == F.col("b.label")) & (F.col("a.src_ip") < F.col("b.src_ip")))
+             .groupBy(F.col("a.src_ip").alias("ip1"), F.col("b.src_ip").alias("ip2"))
+             .agg(F.count(F.lit(1)).alias("shared_count")))
+    for k in (2, 4):
+        got = sorted((r.ip1, r.ip2, r.shared_count) for r in Q.e_connected_to(tables, k).collect())
+        want = sorted(tuple(r) for r in brute.filter(F.col("shared_count") >= k).collect())
+        assert got == want
