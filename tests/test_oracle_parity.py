@@ -34,7 +34,7 @@ def test_every_query_has_oracle_or_is_listed():
 @pytest.mark.parametrize("name", SAMPLE)
 def test_parity(spark, con, name):
     st = E.queries()[name](spark, SF_SMALL).toArrow()
-    ot = con.execute(E.oracle_sql()[name]).to_arrow_table()
+    ot = con.sql(E.oracle_sql()[name]).to_arrow_table()
     sc, sr = rows_of(st)
     oc, orr = rows_of(ot)
     assert sc == oc
