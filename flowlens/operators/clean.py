@@ -66,16 +66,17 @@ def rebuilt_timestamps(df: DataFrame, chunk_size: int = L.READ_CHUNK_ROWS,
 
 
 def clean_flows(raw: DataFrame, ip_format: str = "auto", chunk_size: int = L.READ_CHUNK_ROWS,
-                observation: Observation | None = None) -> DataFrame:
+                observations: tuple[Observation, Observation] | None = None) -> DataFrame:
     """Raw flows -> typed flow events (18 fields + event_id).
 
     ``raw`` has the columns of ``sources.adapter.RAW_FLOW_COLUMNS`` (plus an
-    optional ``line_no`` when text stamps may need rebuilding).  Pass an
-    ``Observation`` to get rows before / after / dropped in one pass.
+    optional ``line_no`` when text stamps may need rebuilding).  Pass two
+    ``Observation`` objects (before, after) to count rows in the same pass
+    as the cleaning; read them with :func:`clean_stats`.
     """
     df = raw
-    if observation is not None:
-        df = df.observe(observation, F.count(F.lit(1)).alias("rows_before"))
+    if observations is not None:
+        df = df.observe(observations[0], F.count(F.lit(1)).alias("rows_before"))
     # 1. addresses: decimal -> dotted quad (a missing decimal becomes 0.0.0.0)
     def numeric(c):
         return isinstance(raw.schema[c].dataType, (T.LongType, T.IntegerType, T.DoubleType))
@@ -119,27 +120,15 @@ def clean_flows(raw: DataFrame, ip_format: str = "auto", chunk_size: int = L.REA
     df = df.withColumns({"source_country": F.col("_geo.country"),
                          "source_region": F.col("_geo.region")})
     out = to_event(df)
-    if observation is not None:
-        out = out.observe(Observation() if observation is None else _after(observation),
-                          F.count(F.lit(1)).alias("rows_after"))
+    if observations is not None:
+        out = out.observe(observations[1], F.count(F.lit(1)).alias("rows_after"))
     return out
 
 
-_AFTER: dict[int, Observation] = {}
-
-
-def _after(obs: Observation) -> Observation:
-    a = _AFTER.get(id(obs))
-    if a is None:
-        a = Observation(f"{obs._name or 'clean'}_after")
-        _AFTER[id(obs)] = a
-    return a
-
-
-def clean_stats(observation: Observation) -> dict:
-    """rows before / after / dropped, after an action ran on the cleaned frame."""
-    before = observation.get.get("rows_before", 0)
-    after = _after(observation).get.get("rows_after", 0)
+def clean_stats(observations: tuple[Observation, Observation]) -> dict:
+    """rows before / after / dropped, once an action ran on the cleaned frame."""
+    before = observations[0].get.get("rows_before", 0)
+    after = observations[1].get.get("rows_after", 0)
     return {"rows_before": before, "rows_after": after, "rows_dropped": before - after}
 
 

@@ -103,3 +103,18 @@ def test_connected_to_threshold_matches_brute_force(tables):
         got = sorted((r.ip1, r.ip2, r.shared_count) for r in Q.e_connected_to(tables, k).collect())
         want = sorted(tuple(r) for r in brute.filter(F.col("shared_count") >= k).collect())
         assert got == want
+
+
+def test_clean_stats_observed_in_one_pass(spark):
+    from pyspark.sql import Observation
+
+    from flowlens.operators import clean
+    from flowlens.sources import adapter
+    from conftest import SF_SMALL
+    obs = (Observation("before"), Observation("after"))
+    df = clean.clean_flows(adapter.raw_flows(spark, SF_SMALL), ip_format="decimal", observations=obs)
+    n = df.count()
+    st = clean.clean_stats(obs)
+    assert st["rows_after"] == n and st["rows_before"] == spark.read.parquet(
+        SF_SMALL + "/events.parquet").count()
+    assert st["rows_dropped"] > 0
