@@ -539,13 +539,14 @@ def q8_g(t, limit: int = 20, start_threshold: int | None = None) -> DataFrame:
     sw = Window.partitionBy("sig").orderBy("src_ip")
     keep = (sig.withColumn("rn", F.row_number().over(sw)).filter(F.col("rn") <= limit + 1)
             .select("src_ip"))
-    ipl = ipl.join(keep, "src_ip", "left_semi")
+    # reused by every round: one row per kept address and label
+    ipl = ipl.join(keep, "src_ip", "left_semi").persist()
     freq = ipl.groupBy("label").agg(F.count(F.lit(1)).alias("f"))
     lw = Window.partitionBy("src_ip").orderBy("f", "label")
     ranked = (ipl.join(freq, "label")
               .withColumn("pos", F.row_number().over(lw))
               .withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("src_ip"))))
-    ranked = ranked.persist()   # reused by every round; small (one row per address and label)
+    ranked = ranked.persist()
     if start_threshold is None:
         sizes = ranked.select("src_ip", "size").distinct()
         # the largest overlap a pair can have is the second largest set size
@@ -553,15 +554,29 @@ def q8_g(t, limit: int = 20, start_threshold: int | None = None) -> DataFrame:
         start_threshold = int(top2 or 1)
     k = max(int(start_threshold), 1)
     while True:
-        pairs = _pairs_with_overlap(ranked, ipl, k)
-        if k == 1 or pairs.limit(limit).count() >= limit:
+        # kept for the final answer, so the pair join is not computed twice;
+        # at most limit+1 addresses per label set take part, so it is small
+        pairs = _pairs_with_overlap(ranked, ipl, k).persist()
+        if k == 1 or pairs.count() >= limit:
             break
+        pairs.unpersist()
         k -= 1
     v = t["v_source_ip"].select("ip", "country")
     out = (pairs.join(v.select(F.col("ip").alias("ip1"), F.col("country").alias("country1")), "ip1")
            .join(v.select(F.col("ip").alias("ip2"), F.col("country").alias("country2")), "ip2")
            .select("ip1", "country1", "ip2", "country2", "shared_attacks", "shared_count"))
-    return C.top(out, limit, F.desc("shared_count"), "ip1", "ip2")
+    res = C.top(out, limit, F.desc("shared_count"), "ip1", "ip2")
+    # the answer is at most ``limit`` rows: compute it now, release the
+    # cached intermediates, and hand back the rows as a literal table
+    rows = res.collect()
+    for cached in (pairs, ranked, ipl):
+        cached.unpersist()
+    spark = res.sparkSession
+    if not rows:
+        return spark.createDataFrame([], res.schema)
+    f = res.schema.fields
+    return S.literal_table(spark, [tuple(r) for r in rows], [x.name for x in f],
+                           [x.dataType.simpleString() for x in f])
 
 
 def _pairs_with_overlap(ranked: DataFrame, ipl: DataFrame, k: int) -> DataFrame:
