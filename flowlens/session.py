@@ -53,13 +53,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this is whatever ``spark.checkpoint.dir`` names.  Only when
     it is unset (local tests) a scratch folder is created and registered.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="flowlens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 

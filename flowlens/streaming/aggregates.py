@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ..functions import lookups as L
 from ..operators import clean, validate
-from ..session import scratch_path
+from ..session import checkpoint_dir, scratch_path
 from ..sources import adapter
 
 EVENT_SCHEMA = T.StructType([
@@ -104,35 +104,43 @@ def run_available_now(agg: DataFrame, name: str | None = None, mode: str = "comp
 
 
 def emit_changes_to_table(agg: DataFrame, path: str, keys: list[str], checkpoint: str,
-                          mode: str = "update"):
-    """Continuous change output: each micro-batch's changed rows replace the
-    stored rows with the same key (a keyed upsert; replays of a batch id
-    rewrite the same version, so it is idempotent)."""
+                          mode: str = "update", time_col: str = "window_start"):
+    """Continuous change output kept as a keyed table.
+
+    The table is partitioned by the day of ``time_col``; each micro-batch
+    reads only the days it touches, replaces the rows with the same key,
+    cuts lineage with a reliable ``checkpoint()`` (it reads the directory it
+    is about to overwrite) and overwrites just those day partitions
+    (dynamic partition overwrite).  A replayed batch id writes the same
+    rows again, so the table is idempotent.
+    """
     from ..operators.upsert import replace_by_key
 
     def upsert(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
-        version = f"{path}/v={batch_id:012d}"
-        try:
-            stored = _latest(spark, path)
-        except Exception:  # noqa: BLE001 - first batch: nothing stored yet
-            stored = None
-        new = batch if stored is None else replace_by_key(stored, batch, keys)
-        new.write.mode("overwrite").parquet(version)
+        checkpoint_dir(spark)          # registers spark.checkpoint.dir for checkpoint()
+        b = batch.withColumn("_day", F.to_date(F.col(time_col)))
+        stored = _read_or_none(spark, path)
+        if stored is None:
+            merged = b
+        else:
+            touched = b.select("_day").distinct()
+            old = stored.join(touched, "_day", "left_semi").select(*b.columns)
+            merged = replace_by_key(old, b, keys + ["_day"]).checkpoint()
+        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("_day").parquet(path))
 
     return (agg.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
             .foreachBatch(upsert))
 
 
-def _latest(spark: SparkSession, path: str) -> DataFrame:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    versions = sorted(s.getPath().getName() for s in fs.listStatus(hpath)
-                      if s.getPath().getName().startswith("v="))
-    return spark.read.parquet(f"{path}/{versions[-1]}")
+def _read_or_none(spark: SparkSession, path: str):
+    try:
+        return spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - nothing written yet
+        return None
 
 
 def pull_query(spark: SparkSession, path: str) -> DataFrame:
     """Current content of a table kept by :func:`emit_changes_to_table`."""
-    return _latest(spark, path)
+    return spark.read.parquet(path).drop("_day")

@@ -118,3 +118,13 @@ def test_clean_stats_observed_in_one_pass(spark):
     assert st["rows_after"] == n and st["rows_before"] == spark.read.parquet(
         SF_SMALL + "/events.parquet").count()
     assert st["rows_dropped"] > 0
+
+
+def test_q2_day_filter_same_in_every_model(tables):
+    day = "2024-01-05"
+    f = {(str(r.hour_bucket), r.attack_category): r.event_count for r in Q.q2_f(tables, day).collect()}
+    s = {(str(r.hour_bucket), r.attack_category): r.event_count for r in Q.q2_s(tables, day).collect()}
+    g = {(r.hour_bucket.replace("T", " "), r.attack_category): r.event_count
+         for r in Q.q2_g(tables, day).collect()}
+    assert f and f == s == g
+    assert all(k[0].startswith(day) for k in f)
