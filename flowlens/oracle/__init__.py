@@ -411,6 +411,15 @@ FROM (SELECT a.source_ip AS ip1, b.source_ip AS ip2, COUNT(*) AS shared_count,
 JOIN (SELECT source_ip, arg_min(source_country, event_id) AS country FROM ev GROUP BY source_ip) v1 ON v1.source_ip = p.ip1
 JOIN (SELECT source_ip, arg_min(source_country, event_id) AS country FROM ev GROUP BY source_ip) v2 ON v2.source_ip = p.ip2
 ORDER BY p.shared_count DESC, p.ip1, p.ip2 LIMIT 20"""
+    parts = {m: b[f"q1_{m}"] for m in ("s", "f", "d", "g")}
+    b["model_reconcile"] = f"""
+SELECT attack_category, s.total_events AS total_events_s, f.total_events AS total_events_f,
+  d.total_events AS total_events_d, g.total_events AS total_events_g,
+  COALESCE(f.total_events = s.total_events AND d.total_events = s.total_events
+           AND g.total_events = s.total_events, false) AS agree
+FROM ({parts['s']}) s FULL OUTER JOIN ({parts['f']}) f USING (attack_category)
+  FULL OUTER JOIN ({parts['d']}) d USING (attack_category)
+  FULL OUTER JOIN ({parts['g']}) g USING (attack_category)"""
     # ------------------------------------------------------------ streaming (batch answers)
     b["attack_rate_1min"] = """
 SELECT attack_category, COUNT(*) AS event_count, date_trunc('minute', timestamp) AS window_start,
