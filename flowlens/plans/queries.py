@@ -563,23 +563,20 @@ def q8_g(t, limit: int = 20, start_threshold: int | None = None) -> DataFrame:
         top2 = sizes.orderBy(F.desc("size")).limit(2).agg(F.min("size")).first()[0]
         start_threshold = int(top2 or 1)
     k = max(int(start_threshold), 1)
+    v = t["v_source_ip"].select("ip", "country")
     while True:
-        # kept for the final answer, so the pair join is not computed twice;
-        # at most limit+1 addresses per label set take part, so it is small
-        pairs = _pairs_with_overlap(ranked, ipl, k).persist()
-        if k == 1 or pairs.count() >= limit:
+        # one job per round: the top ``limit`` among pairs with overlap >= k;
+        # if fewer than ``limit`` pairs reach k, lower it and repeat
+        pairs = _pairs_with_overlap(ranked, ipl, k)
+        out = (pairs.join(v.select(F.col("ip").alias("ip1"), F.col("country").alias("country1")), "ip1")
+               .join(v.select(F.col("ip").alias("ip2"), F.col("country").alias("country2")), "ip2")
+               .select("ip1", "country1", "ip2", "country2", "shared_attacks", "shared_count"))
+        res = C.top(out, limit, F.desc("shared_count"), "ip1", "ip2")
+        rows = res.collect()
+        if k == 1 or len(rows) >= limit:
             break
-        pairs.unpersist()
         k -= 1
-    v = t["v_source_ip"].select("ip", "country")
-    out = (pairs.join(v.select(F.col("ip").alias("ip1"), F.col("country").alias("country1")), "ip1")
-           .join(v.select(F.col("ip").alias("ip2"), F.col("country").alias("country2")), "ip2")
-           .select("ip1", "country1", "ip2", "country2", "shared_attacks", "shared_count"))
-    res = C.top(out, limit, F.desc("shared_count"), "ip1", "ip2")
-    # the answer is at most ``limit`` rows: compute it now, release the
-    # cached intermediates, and hand back the rows as a literal table
-    rows = res.collect()
-    for cached in (pairs, ranked, ipl):
+    for cached in (ranked, ipl):
         cached.unpersist()
     spark = res.sparkSession
     if not rows:
