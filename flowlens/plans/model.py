@@ -150,7 +150,7 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> Tables:
     of the input); everything else is read from the written tables.
     """
     from ..session import scratch_path
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf_dir)
     if key not in _STORED:
         import uuid
         lazy = build_tables(spark, sf_dir)
