@@ -1,15 +1,11 @@
 """Spark session defaults for the library.
 
 The library never hard-codes cluster paths: a job reads ``spark.checkpoint.dir``
-from the session it is given and only falls back to a scratch folder when the
-setting is missing (local tests).
+from the session it is given, or a folder that its caller names.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -47,25 +43,28 @@ def apply_runtime_conf(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", "8000")
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
+def checkpoint_dir(spark: SparkSession, folder: str | None = None) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names.  Only when
-    it is unset (local tests) a scratch folder is created and registered.
+    On a cluster this is the folder that ``spark.checkpoint.dir`` names.  Where
+    the setting is absent, the caller names one (``folder``, the library's own
+    setting ``flowlens.scratch.dir``, or ``SparkContext.setCheckpointDir``).
+    Without any of them the call fails: a folder guessed here would be local
+    to one machine.
     """
     sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="flowlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+    found = (spark.conf.get("spark.checkpoint.dir", None) or folder
+             or spark.conf.get("flowlens.scratch.dir", None) or sc.getCheckpointDir())
+    if not found:
+        raise RuntimeError("no shared scratch folder: set spark.checkpoint.dir (or flowlens.scratch.dir) "
+                           "to a folder that the driver and all executors can reach")
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(d)
-    return d
+        sc.setCheckpointDir(found)
+    return found
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for a written table."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, name)
+    """A path under the shared checkpoint folder for a written table.  The
+    folder's URI scheme stays: without it a cluster whose default file system
+    is another one would write elsewhere."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}"

@@ -15,9 +15,7 @@ def spark():
     from flowlens.session import get_session
     s = get_session(master="local[*]", shuffle_partitions=8)
     if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="flowlens-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
-        s.sparkContext.setCheckpointDir(d)
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="flowlens-test-ckpt-"))
     yield s
 
 
