@@ -10,16 +10,20 @@ Documents whose sets have a Jaccard similarity of 0.75 or more are linked.
    512-bit parity bitmap.
 2. Documents with the same digest are one class; from here on only classes
    count, so thousands of copies cost one row.
-3. In the first bands each bucket's members are paired with one member drawn by
-   hash (a star, linear in the bucket).  Pairs whose sketches differ in too
+3. In every band's bucket the member with the most neighbours over all bands is
+   paired with the others (a star, linear in the bucket); a text that many
+   copies were made from is such a member.  Pairs whose sketches differ in too
    many bits are dropped (the bound lies 6.5 standard deviations from 0.75),
    the rest are confirmed on the full sets, and components are formed.
-4. In all bands, only pairs that cross components remain to be tested: buckets
-   inside one component vanish, in the others every crossing pair is held
-   against the sketch inside the join, and those that pass are confirmed.
-   Buckets above BLOCK classes are dealt out as pairs of blocks over many
-   tasks.  No pair is skipped: two members of a bucket that end in different
-   components have been compared.
+4. Only pairs that cross components remain to be tested: buckets inside one
+   component vanish, the others are compared whole, in blocks of BLOCK classes
+   dealt over many tasks.  Sketches tell which members have a possible partner
+   at all; for those the full sets are brought along, and each pair is
+   confirmed in the task, closest sketches first, unless the two have met in
+   one component by then.  A pair in several buckets is tested in the first.
+   What leaves the task are the edges of a forest, not pairs.  No pair is
+   skipped: two members of a bucket that end in different components have been
+   compared.
 """
 
 from __future__ import annotations
@@ -38,8 +42,7 @@ WORDS = 5
 SAMPLES, ROWS = 128, 4
 BANDS = SAMPLES // ROWS
 SKETCH_BITS = 512
-STAR_BANDS = 6
-BLOCK = 2048
+BLOCK = 256
 PERCENT = 75
 #: Pairs whose sketches estimate less than this are not confirmed.
 LEAST_ESTIMATE = 0.5
@@ -131,15 +134,20 @@ def _size_allows(a: str, b: str):
     return F.least(a, b) * 100 >= F.greatest(a, b) * PERCENT
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """The (a, b) of ``pairs`` whose full sets reach the similarity.  Only the
-    texts of classes in some pair are shingled again."""
-    pairs = stored(pairs, f"{name}-pairs")
-    needed = pairs.select(F.col("a").alias("set_key")).unionByName(pairs.select(F.col("b").alias("set_key"))).distinct()
+def _full_sets(needed: DataFrame, classes: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """set_key and shingles of the ``needed`` set_keys; only their texts are
+    shingled again."""
     reps = classes.join(needed, "set_key", "left_semi").select("rep").distinct()
     texts = _texts(docs).join(reps.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
     sets = texts.select("text").mapInArrow(_sets, "set_key binary, shingles array<bigint>")
-    sets = stored(sets.join(needed, "set_key", "left_semi").dropDuplicates(["set_key"]), f"{name}-sets")
+    return stored(sets.join(needed, "set_key", "left_semi").dropDuplicates(["set_key"]), f"{name}-sets")
+
+
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """The (a, b) of ``pairs`` whose full sets reach the similarity."""
+    pairs = stored(pairs, f"{name}-pairs")
+    needed = pairs.select(F.col("a").alias("set_key")).unionByName(pairs.select(F.col("b").alias("set_key"))).distinct()
+    sets = _full_sets(needed, classes, docs, name)
     one = sets.select(F.col("set_key").alias("a"), F.col("shingles").alias("sa"))
     two = sets.select(F.col("set_key").alias("b"), F.col("shingles").alias("sb"))
     shared = F.size(F.array_intersect("sa", "sb"))
@@ -148,10 +156,12 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, name: str)
 
 
 def _star_pairs(classes: DataFrame) -> DataFrame:
-    rows = classes.select("set_key", F.explode(F.slice("bands", 1, STAR_BANDS)).alias("key"))
-    drawn = F.min(F.struct(F.xxhash64("key", "set_key"), "set_key"))
-    pivots = (rows.groupBy("key").agg(drawn["set_key"].alias("pivot"), F.count(F.lit(1)).alias("m"))
-              .where("m > 1").drop("m"))
+    rows = classes.select("set_key", F.explode("bands").alias("key"))
+    crowded = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+    rows = stored(rows.join(crowded, "key"), "near-buckets")
+    degree = rows.groupBy("set_key").agg(F.sum(F.col("m") - 1).alias("degree"))
+    rows = rows.join(degree, "set_key").select("key", "set_key", "degree")
+    pivots = rows.groupBy("key").agg(F.max(F.struct("degree", "set_key"))["set_key"].alias("pivot"))
     pairs = (rows.join(pivots, "key").where("set_key <> pivot")
              .select(F.least("set_key", "pivot").alias("a"), F.greatest("set_key", "pivot").alias("b")).distinct())
     side = classes.select("set_key", "n_shingles", "sketch")
@@ -159,24 +169,95 @@ def _star_pairs(classes: DataFrame) -> DataFrame:
             .where(_size_allows("na", "nb") & _close_sketches("ka", "kb")).select("a", "b"))
 
 
-def _crossing_pairs(classes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs in a common bucket, of different components, with close sketches."""
+CELL = "cell bigint, band int, two boolean, blk int, set_key binary, label binary, n_shingles bigint, sketch array<bigint>, bands array<bigint>"
+
+
+def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each cell; cells come sorted."""
+    held: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = pa.concat_tables([held, rows]) if held is not None else rows
+        at = rows.column("cell").to_numpy()
+        cuts = [0, *(np.nonzero(at[1:] != at[:-1])[0] + 1).tolist()]
+        for lo, hi in zip(cuts, cuts[1:]):
+            yield rows.slice(lo, hi - lo)
+        held = rows.slice(cuts[-1]) if len(rows) else None
+    if held is not None:
+        yield held
+
+
+def _possible(cell: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, differing bits) of a cell's pairs that may be links and that no
+    earlier band sees, a < b."""
+    n, blk, band = (cell.column(c).to_numpy() for c in ("n_shingles", "blk", "band"))
+    label = np.unique(np.array(cell.column("label").to_pylist(), object), return_inverse=True)[1]
+    sketch = np.array(cell.column("sketch").to_pylist(), np.int64).view(np.uint64)
+    bands = np.array(cell.column("bands").to_pylist(), np.int64)
+    t, two, found = int(band[0]), cell.column("two")[0].as_py(), []
+    for at in range(0, len(n), 128):
+        some = slice(at, min(at + 128, len(n)))
+        fit = (label[some, None] != label) & (np.minimum(n[some, None], n) * 100 >= np.maximum(n[some, None], n) * PERCENT)
+        fit &= np.arange(len(n))[some, None] < np.arange(len(n))
+        fit &= (blk[some, None] != blk) if two else True
+        fit &= (band[some, None] == band) & (bands[some, t, None] == bands[:, t])
+        a, b = np.nonzero(fit)
+        a += at
+        bits = np.bitwise_count(sketch[a] ^ sketch[b]).sum(1)
+        new = bits <= most_differing_bits()
+        a, b, bits = a[new], b[new], bits[new]
+        first = (bands[a, :t] != bands[b, :t]).all(1)
+        found.append((a[first], b[first], bits[first]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def _with_partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for cell in _whole_cells(batches):
+        if len(cell) > 1:
+            a, b, _ = _possible(cell)
+            if len(a):
+                yield from cell.take(np.unique(np.concatenate([a, b]))).to_batches()
+
+
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for cell in _whole_cells(batches):
+        if len(cell) < 2:
+            continue
+        a, b, bits = _possible(cell)
+        keys, sets = cell.column("set_key").to_pylist(), [x.values.to_numpy() for x in cell.column("shingles")]
+        label = np.unique(np.array(cell.column("label").to_pylist(), object), return_inverse=True)[1]
+        edges = []
+        for k in bits.argsort(kind="stable").tolist():
+            i, j = a[k], b[k]
+            if label[i] == label[j]:
+                continue
+            shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if shared * 100 >= (len(sets[i]) + len(sets[j]) - shared) * PERCENT:
+                edges.append((keys[i], keys[j]))
+                label[label == label[j]] = label[i]
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in edges], pa.binary()), pa.array([y for _, y in edges], pa.binary())],
+                                         names=["a", "b"])
+
+
+def _crossing_links(classes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+    """Confirmed links between classes of different components, as a forest in
+    each cell."""
     known = classes.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left") \
         .withColumn("label", F.coalesce("label", "set_key"))
-    rows = known.select("set_key", "label", F.explode("bands").alias("key"))
+    rows = known.select("set_key", "label", F.posexplode("bands").alias("band", "key"))
     mixed = (rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m"))
              .where("lo <> hi").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")))
-    rows = rows.join(mixed, "key").join(classes.select("set_key", "n_shingles", "sketch"), "set_key")
-    rows = rows.withColumn("blk", F.pmod(F.xxhash64("set_key"), F.col("nb")).cast("int"))
-    rows = rows.withColumn("cell", F.explode(F.expr(
-        "transform(sequence(0, nb - 1), j -> least(j, blk) * nb + greatest(j, blk))")))
-    a = rows.select("key", "cell", "nb", *(F.col(c).alias(f"{c}_a") for c in ("set_key", "label", "n_shingles", "sketch", "blk")))
-    b = rows.select("key", "cell", *(F.col(c).alias(f"{c}_b") for c in ("set_key", "label", "n_shingles", "sketch", "blk")))
-    own = F.least("blk_a", "blk_b") * F.col("nb") + F.greatest("blk_a", "blk_b") == a["cell"]
-    met = (a["key"] == b["key"]) & (a["cell"] == b["cell"]) & (F.col("set_key_a") < F.col("set_key_b")) \
-        & (F.col("label_a") != F.col("label_b")) & own \
-        & _size_allows("n_shingles_a", "n_shingles_b") & _close_sketches("sketch_a", "sketch_b")
-    return a.join(b, met).select(F.col("set_key_a").alias("a"), F.col("set_key_b").alias("b")).distinct()
+    rows = rows.join(mixed, "key").withColumn("blk", F.pmod(F.xxhash64("set_key"), F.col("nb")).cast("int"))
+    rows = rows.withColumn("pair", F.explode(F.expr(
+        "transform(sequence(0, nb - 1), j -> struct(least(j, blk) as lo, greatest(j, blk) as hi))")))
+    rows = rows.select(F.xxhash64("key", "pair").alias("cell"), "band", (F.col("pair.lo") != F.col("pair.hi")).alias("two"),
+                       "blk", "set_key", "label").join(classes.select("set_key", "n_shingles", "sketch", "bands"), "set_key")
+    rows = rows.select("cell", "band", "two", "blk", "set_key", "label", "n_shingles", "sketch", "bands")
+    order = ("cell", "blk", "set_key")
+    partners = stored(rows.repartition("cell").sortWithinPartitions(*order).mapInArrow(_with_partners, CELL), "near-partners")
+    needed = partners.select("set_key").distinct()
+    whole = partners.join(_full_sets(needed, classes, docs, "near-cross"), "set_key")
+    return whole.repartition("cell").sortWithinPartitions(*order).mapInArrow(_linked, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -196,7 +277,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     edges = stored(_confirmed(_star_pairs(classes), classes, docs, "near-star"), "near-star-edges")
     labels = components(edges, "near-star")
-    crossing = _confirmed(_crossing_pairs(classes, labels), classes, docs, "near-cross")
+    crossing = _crossing_links(classes, labels, docs)
     merged = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
                         .unionByName(crossing.select("a", "b")), "near")
 
