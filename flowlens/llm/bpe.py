@@ -85,18 +85,23 @@ def _encoder(ranks):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # one piece: the words are pre-tokens already
         own = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks.value, special_tokens={})
-        last, ids = None, b""
+        last, ids, narrow = None, b"", _narrow(ranks.value)
         for batch in batches:
             out = []
             for word in batch.column("word").to_pylist():
                 if word != last:
-                    last, ids = word, np.array(own.encode_ordinary(word), "<u4").tobytes()
+                    last, ids = word, np.array(own.encode_ordinary(word), narrow).tobytes()
                 out.append(ids)
             yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("code"), pa.array(out, pa.binary())],
                                              names=["block", "code", "ids"])
     return encode
 
 
+def _narrow(ranks: dict[bytes, int]) -> str:
+    """The type that words' ids travel in."""
+    return "<u2" if max(ranks.values(), default=0) < 1 << 16 else "<u4"
+
+
 def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The slices data[start:start + size], one after the other."""
     total = int(size.sum())
@@ -104,19 +109,22 @@ def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
     return data[shift + np.arange(total)]
 
 
-def _assembled(texts: pa.Table, ids: pa.Table) -> pa.Table:
-    """Ids of a block's texts, put together by position."""
-    order = ids.column("code").to_numpy().argsort()
-    parts = ids.column("ids").combine_chunks().take(pa.array(order)).to_pylist()
-    size = np.fromiter((len(p) // 4 for p in parts), np.int64, len(parts))
-    start, data = np.cumsum(size) - size, np.frombuffer(b"".join(parts), "<u4")
-    out, counts = [], []
-    for planes in texts.column("codes"):
-        codes = _codes(planes.as_py())
-        got = _gather(data, start[codes], size[codes]) if len(codes) else np.empty(0, "<u4")
-        out.append(got.astype("<u4").tobytes())
-        counts.append(len(got))
-    return pa.table({"doc_id": texts.column("doc_id"), "n_tokens": pa.array(counts, pa.int64()), "ids": pa.array(out, pa.binary())})
+def _assembler(narrow: str):
+    def assembled(texts: pa.Table, ids: pa.Table) -> pa.Table:
+        """Ids of a block's texts, put together by position."""
+        order = ids.column("code").to_numpy().argsort()
+        parts = ids.column("ids").combine_chunks().take(pa.array(order)).to_pylist()
+        data = np.frombuffer(b"".join(parts), narrow)
+        size = np.fromiter(map(len, parts), np.int64, len(parts)) // data.itemsize
+        start = np.cumsum(size) - size
+        out, counts = [], []
+        for planes in texts.column("codes"):
+            codes = _codes(planes.as_py())
+            got = _gather(data, start[codes], size[codes]) if len(codes) else data[:0]
+            out.append(got.astype("<u4").tobytes())
+            counts.append(len(got))
+        return pa.table({"doc_id": texts.column("doc_id"), "n_tokens": pa.array(counts, pa.int64()), "ids": pa.array(out, pa.binary())})
+    return assembled
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -139,7 +147,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     ids = words.repartition("word").sortWithinPartitions("word").mapInArrow(_encoder(ranks), "block bigint, code int, ids binary")
     texts = blocks.where("words is null").select("block", "doc_id", "codes")
     return texts.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(
-        _assembled, "doc_id bigint, n_tokens bigint, ids binary")
+        _assembler(_narrow(ranks.value)), "doc_id bigint, n_tokens bigint, ids binary")
 
 
 def _decoder(ranks):
