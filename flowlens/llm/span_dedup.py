@@ -1,18 +1,18 @@
 """Substring deduplication by sliding spans of consecutive sentences.
 
-A sentence ends at . ! ? or, so that a passage set into other text shows within
-long ones, at , ; : | or a line end; a stretch of over LONG words without any is
-cut after words whose checksum says so (which depends on the word alone, so
-every copy is cut alike).  From each sentence on, the fewest consecutive
+A sentence ends at . ! ? or a line end; one of over LONG words is cut after words
+whose checksum says so (which depends on the word alone, so every copy is cut
+alike, also where a passage begins within another sentence).  From each sentence on, the fewest consecutive
 sentences that are SENTENCES at least and hold WORDS words at least make a span;
 every span is hashed (128 bits, words only, so spacing doesn't matter).
 
 The first place of a span, by doc_id and then place, keeps its text.  All
 sentences covered by any span that is not the first are removed.
 
-Firsts come from an aggregate with map-side partials, non-firsts from a join of
-all spans with the few that repeat, so the one key of a very common passage is
-combined before the shuffle, and its rows in the join can be split.
+Spans that repeat come from a count with map-side partials, so the one key of a
+very common passage is combined before the shuffle; all spans are joined with
+those few, where a hot key's rows can be split.  Only what repeats is then held
+against its first place.
 """
 
 from __future__ import annotations
@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 
 from .common import stored, table
 
-SENTENCES, WORDS, LONG = 3, 24, 16
-_SENTENCE = re.compile(r"[^.!?…,;:|\n]+[.!?…,;:|\n]*\s*|[.!?…,;:|\n]+\s*")
+SENTENCES, WORDS, LONG = 2, 24, 16
+_SENTENCE = re.compile(r"[^.!?…\n]+[.!?…\n]*\s*|[.!?…\n]+\s*")
 _WORD = re.compile(r"\S+\s*")
 LAST_ID = 2**63 - 1
 
@@ -132,9 +132,10 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     spans = hashed.select("doc", "version", F.explode(F.arrays_zip("h1", "h2", "place")).alias("s")) \
         .select("s.h1", "s.h2", "doc", "version", "s.place")
     place = F.struct("doc", "version", "place")
-    firsts = spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last") \
-        .select("h1", "h2", "first")
-    again = spans.join(firsts, ["h1", "h2"]).where(place != F.col("first"))
+    repeated = spans.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
+    again = stored(spans.join(repeated, ["h1", "h2"]), "span-repeats")
+    firsts = again.groupBy("h1", "h2").agg(F.min(place).alias("first"))
+    again = again.join(firsts, ["h1", "h2"]).where(place != F.col("first"))
     places = again.groupBy("doc", "version").agg(F.collect_set("place").alias("places"))  # at most a text's own sentences
     versioned = rows.mapInArrow(_version, "doc_id bigint, text string, doc bigint, version bigint")
     return versioned.join(places, ["doc", "version"], "left").select("doc_id", "text", "places") \
