@@ -8,8 +8,11 @@ from pyspark.sql import functions as F
 from ..functions import lookups as L
 
 
-def _limit(n: int) -> int:
-    return max(1, min(int(n), L.BROWSE_MAX_LIMIT))
+def browse_limit(n: int) -> int:
+    """``n`` if it is a page size that browsing allows; never another size."""
+    if not 1 <= int(n) <= L.BROWSE_MAX_LIMIT:
+        raise ValueError(f"limit must be between 1 and {L.BROWSE_MAX_LIMIT}, not {n}")
+    return int(n)
 
 
 def parse_logs(lines: DataFrame) -> DataFrame:
@@ -26,7 +29,7 @@ def tail_per_service(lines: DataFrame, n: int = L.BROWSE_DEFAULT_LIMIT) -> DataF
     """Last ``n`` raw lines of each file (taken before parsing).  The window
     keeps at most ``n`` rows per service before the shuffle."""
     w = Window.partitionBy("service").orderBy(F.desc("line_no"))
-    return lines.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= _limit(n)).drop("_r")
+    return lines.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= browse_limit(n)).drop("_r")
 
 
 def merged_logs(lines: DataFrame, n: int = L.BROWSE_DEFAULT_LIMIT, service: str | None = None) -> DataFrame:
@@ -34,7 +37,7 @@ def merged_logs(lines: DataFrame, n: int = L.BROWSE_DEFAULT_LIMIT, service: str
     if service:
         lines = lines.filter(F.col("service") == service)
     parsed = parse_logs(tail_per_service(lines, n))
-    return parsed.orderBy(F.desc("timestamp"), "service", F.desc("line_no")).limit(_limit(n)).drop("line_no")
+    return parsed.orderBy(F.desc("timestamp"), "service", F.desc("line_no")).limit(browse_limit(n)).drop("line_no")
 
 
 def log_level_counts(lines: DataFrame) -> DataFrame:

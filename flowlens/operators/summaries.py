@@ -161,7 +161,7 @@ def refresh_all(t: dict[str, DataFrame], path: str) -> dict[str, str]:
             build(t).write.mode("overwrite").parquet(f"{path}/{name}")
             status[name] = "ok"
         except Exception as e:  # noqa: BLE001
-            status[name] = str(e)[:500]
+            status[name] = str(e)
     return status
 
 

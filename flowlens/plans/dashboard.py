@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lookups as L
+from ..operators.logs import browse_limit
 from ..functions import scalars as S
 from ..operators import profile as P
 from . import common as C
@@ -148,8 +149,7 @@ def dlq_report(t) -> DataFrame:
 
 def dlq_browse(t, limit: int = L.BROWSE_DEFAULT_LIMIT) -> DataFrame:
     """First ``limit`` (1..5000) dead letters in arrival order."""
-    limit = max(1, min(int(limit), L.BROWSE_MAX_LIMIT))
-    return C.top(t["rejected"], limit, F.col("event_id"))
+    return C.top(t["rejected"], browse_limit(limit), F.col("event_id"))
 
 
 def registry() -> dict[str, Callable]:

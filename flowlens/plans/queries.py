@@ -217,7 +217,6 @@ def q7_f(t):
             .orderBy(F.desc("avg_duration_ms"), "attack_label"))
 
 
-CO_ATTACK_CANDIDATES = 21   # top-k + 1 per label is enough for an exact top-k
 
 
 def q8_f(t, limit: int = 20):

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -137,8 +138,10 @@ def emit_changes_to_table(agg: DataFrame, path: str, keys: list[str], checkpoint
 def _read_or_none(spark: SparkSession, path: str):
     try:
         return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return None
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # nothing written yet
+            return None
+        raise
 
 
 def pull_query(spark: SparkSession, path: str) -> DataFrame:

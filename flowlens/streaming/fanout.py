@@ -28,8 +28,8 @@ def write_models(batch: DataFrame, batch_id: int, base: str,
     batch.  Returns {model: 'ok' | error text}."""
     status: dict[str, str] = {}
     batch = batch.persist()
+    checked = validate.with_errors(batch, trusted_lookups).persist()
     try:
-        checked = validate.with_errors(batch, trusted_lookups).persist()
         good = checked.filter(F.col("_error").isNull()).drop("_error")
         bad = checked.filter(F.col("_error").isNotNull())
         g = graph.graph_input(good)
@@ -52,9 +52,9 @@ def write_models(batch: DataFrame, batch_id: int, base: str,
                 status[name] = "ok"
             except Exception as e:  # noqa: BLE001 - one model must not stop the others
                 log.warning("model %s failed for batch %s: %s", name, batch_id, e)
-                status[name] = str(e)[:500]
-        checked.unpersist()
+                status[name] = str(e)
     finally:
+        checked.unpersist()
         batch.unpersist()
     return status
 
@@ -62,7 +62,9 @@ def write_models(batch: DataFrame, batch_id: int, base: str,
 def fanout_stream(events: DataFrame, base: str, checkpoint: str, trusted_lookups: bool = False):
     """``writeStream`` that fans every micro-batch out to all models."""
     def each(batch: DataFrame, batch_id: int):
-        write_models(batch, batch_id, base, trusted_lookups)
+        failed = {k: v for k, v in write_models(batch, batch_id, base, trusted_lookups).items() if v != "ok"}
+        if failed:  # the batch is replayed; writes are keyed by its id
+            raise RuntimeError(f"batch {batch_id}: models not written: {failed}")
     return events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
 
 
