@@ -132,9 +132,10 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     spans = hashed.select("doc", "version", F.explode(F.arrays_zip("h1", "h2", "place")).alias("s")) \
         .select("s.h1", "s.h2", "doc", "version", "s.place")
     place = F.struct("doc", "version", "place")
-    repeated = spans.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2")
+    # written, so that the join has its own shuffle, where a hot span's rows can be split
+    repeated = stored(spans.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2"), "span-keys")
     again = stored(spans.join(repeated, ["h1", "h2"]), "span-repeats")
-    firsts = again.groupBy("h1", "h2").agg(F.min(place).alias("first"))
+    firsts = stored(again.groupBy("h1", "h2").agg(F.min(place).alias("first")), "span-firsts")
     again = again.join(firsts, ["h1", "h2"]).where(place != F.col("first"))
     places = again.groupBy("doc", "version").agg(F.collect_set("place").alias("places"))  # at most a text's own sentences
     versioned = rows.mapInArrow(_version, "doc_id bigint, text string, doc bigint, version bigint")
