@@ -6,8 +6,9 @@
    positions of its pre-tokens.  Blocks are written to a table bucketed by block.
 2. The blocks' word lists are exploded and shuffled by word.  Sorted by word, each
    task meets all places of a word together and encodes it once; the ids go back
-   with each place (block, number).  A word has one row for each block, however
-   often it occurs, so frequent words are no hot keys.
+   to each place (block, number), the places of a block packed together.  A word
+   has one row for each block, however often it occurs, so frequent words are no
+   hot keys.
 3. Each block's ids come together with its texts (bucketed, so the texts don't
    move) and every text's ids are put together by position.
 
@@ -34,6 +35,8 @@ from ..session import scratch_path
 from .common import table
 
 BLOCK_CHARS = 48_000_000
+# an encoding task gathers this much of its places before it sends them back by block
+HELD_BYTES, PLACE_BYTES = 64 << 20, 32
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -81,19 +84,40 @@ def _splitter(pattern: str, most: int):
     return split
 
 
+def _by_block(held: list[tuple], narrow: str) -> pa.RecordBatch:
+    """Encoded places (block, code, number of ids, ids) as one row a block:
+    codes in order, as distances, so that they compress."""
+    block, code, size = (np.concatenate([h[k] for h in held]) for k in range(3))
+    data = np.frombuffer(b"".join(h[3] for h in held), narrow)
+    start = np.cumsum(size) - size
+    order = np.lexsort((code, block))
+    rows = [(int(block[at[0]]), _planes(np.diff(code[at], prepend=0)), _planes(size[at]), _gather(data, start[at], size[at]).tobytes())
+            for at in np.split(order, np.flatnonzero(np.diff(block[order])) + 1)]
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3))],
+                                      names=["block", "codes", "sizes", "ids"])
+
+
 def _encoder(ranks):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # one piece: the words are pre-tokens already
         own = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks.value, special_tokens={})
         last, ids, narrow = None, b"", _narrow(ranks.value)
+        held, weight = [], 0
         for batch in batches:
             out = []
             for word in batch.column("word").to_pylist():
                 if word != last:
                     last, ids = word, np.array(own.encode_ordinary(word), narrow).tobytes()
                 out.append(ids)
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("code"), pa.array(out, pa.binary())],
-                                             names=["block", "code", "ids"])
+            if out:
+                size = np.fromiter(map(len, out), np.int64, len(out)) // np.dtype(narrow).itemsize
+                held.append((batch.column("block").to_numpy(), batch.column("code").to_numpy().astype(np.int64), size, b"".join(out)))
+                weight += PLACE_BYTES * len(out) + len(held[-1][3])
+            if weight >= HELD_BYTES:
+                yield _by_block(held, narrow)
+                held, weight = [], 0
+        if held:
+            yield _by_block(held, narrow)
     return encode
 
 
@@ -112,11 +136,11 @@ def _gather(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray
 def _assembler(narrow: str):
     def assembled(texts: pa.Table, ids: pa.Table) -> pa.Table:
         """Ids of a block's texts, put together by position."""
-        order = ids.column("code").to_numpy().argsort()
-        parts = ids.column("ids").combine_chunks().take(pa.array(order)).to_pylist()
-        data = np.frombuffer(b"".join(parts), narrow)
-        size = np.fromiter(map(len, parts), np.int64, len(parts)) // data.itemsize
-        start = np.cumsum(size) - size
+        code = np.concatenate([np.cumsum(_codes(c.as_py()), dtype=np.int64) for c in ids.column("codes")] or [np.zeros(0, np.int64)])
+        sizes = np.concatenate([_codes(c.as_py()) for c in ids.column("sizes")] or [np.zeros(0, "<u4")]).astype(np.int64)
+        data = np.frombuffer(b"".join(c.as_py() for c in ids.column("ids")), narrow)
+        start, size = np.zeros(len(code), np.int64), np.zeros(len(code), np.int64)
+        start[code], size[code] = np.cumsum(sizes) - sizes, sizes
         out, counts = [], []
         for planes in texts.column("codes"):
             codes = _codes(planes.as_py())
@@ -144,7 +168,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         .option("compression", "zstd").option("path", scratch_path(spark, f"llm/{name}")).saveAsTable(name)
     blocks = spark.table(name)
     words = blocks.where("words is not null").select("block", F.posexplode("words").alias("code", "word"))
-    ids = words.repartition("word").sortWithinPartitions("word").mapInArrow(_encoder(ranks), "block bigint, code int, ids binary")
+    ids = words.repartition("word").sortWithinPartitions("word").mapInArrow(_encoder(ranks), "block bigint, codes binary, sizes binary, ids binary")
     texts = blocks.where("words is null").select("block", "doc_id", "codes")
     return texts.groupBy("block").cogroup(ids.groupBy("block")).applyInArrow(
         _assembler(_narrow(ranks.value)), "doc_id bigint, n_tokens bigint, ids binary")
