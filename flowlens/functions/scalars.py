@@ -94,16 +94,15 @@ def geo_slot(ip) -> Column:
     return F.pmod(total, F.lit(100))
 
 
-def geo_table() -> Column:
-    """Literal array of (country, region) structs: the slot table, built by
-    the rule 'repeat each country weight times in list order'."""
-    return F.array(*[F.struct(F.lit(c).alias("country"), F.lit(r).alias("region"))
-                     for c, r in L.geo_slots()])
-
-
 def geo(ip) -> Column:
-    """(country, region) struct for an address; md5 is evaluated once."""
-    return F.element_at(geo_table(), (geo_slot(ip) + 1).cast("int"))
+    """(country, region) struct for an address: the country after as many
+    others as have their cumulative weight at or below the address's slot.
+    Every comparison is always made, so the slot is a common subexpression
+    and md5 is evaluated once."""
+    shares = L.geo_thresholds()
+    slot = geo_slot(ip)
+    passed = sum(((slot >= end).cast("int") for end, _, _ in shares[:-1]), F.lit(1))
+    return F.element_at(F.array(*[F.struct(F.lit(c).alias("country"), F.lit(r).alias("region")) for _, c, r in shares]), passed)
 
 
 def geo_country(ip) -> Column:

@@ -1,4 +1,4 @@
-"""Data profiling of raw flow rows, each a single pass over the data.
+"""Data profiling of raw flow rows.
 
 Column statistics are computed as one wide aggregation (every column's
 aggregates in the same job, map-side partial), then turned into rows with
@@ -7,12 +7,15 @@ aggregates in the same job, map-side partial), then turned into rows with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import lookups as L
 from ..functions import scalars as S
+from ..session import scratch_path
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
@@ -36,117 +39,60 @@ def _finite(c: str):
     return F.when(~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), x)
 
 
-def exact_order_statistics(df: DataFrame, targets: dict[str, list[int]],
-                           buckets: int = 1024, collect_at_most: int = 50_000) -> dict:
-    """k-th smallest finite value (0-based ranks) of several columns, exactly,
-    without holding a whole column in one task.
+def ranked_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(c, x, n, before): every distinct finite value of each column, how often
+    it occurs and how many values of its column are smaller.
 
-    Each round is one Spark job: every value is matched to the brackets
-    [lo, hi] of the ranks still open, and counted per equal-width bucket
-    (map-side partial counts; the driver receives at most ranks x buckets
-    numbers).  The bucket holding the rank becomes the next bracket.  Once a
-    bracket holds at most ``collect_at_most`` values they are fetched and
-    the rank is read off.  Returns {(column, rank): value}.
+    Values are counted first (map-side partials, so a value that half the rows
+    share is one row), then range-partitioned and written; the totals of the
+    ranges are the offsets of the running sums inside each range.
     """
+    spark = df.sparkSession
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("c"), _finite(c).alias("x")) for c in targets])).alias("v")) \
+        F.struct(F.lit(c).alias("c"), _finite(c).alias("x")) for c in cols])).alias("v")) \
         .select("v.c", "v.x").filter(F.col("x").isNotNull())
-    bounds = {r["c"]: (r["lo"], r["hi"]) for r in
-              long.groupBy("c").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
-    # open: (column, rank) -> [lo, hi, offset = number of values below lo]
-    open_ = {(c, k): [bounds[c][0], bounds[c][1], 0] for c, ks in targets.items()
-             for k in ks if c in bounds}
-    done: dict = {}
-    while open_:
-        keys = list(open_)
-        spec = F.array(*[F.struct(F.lit(i).alias("t"), F.lit(c).alias("c"),
-                                  F.lit(float(open_[key][0])).alias("lo"),
-                                  F.lit(float(open_[key][1])).alias("hi"))
-                         for i, key in enumerate(keys) for c in [key[0]]])
-        hit = long.select("c", "x", F.explode(spec).alias("b")) \
-            .filter((F.col("c") == F.col("b.c")) & (F.col("x") >= F.col("b.lo")) & (F.col("x") <= F.col("b.hi")))
-        width = (F.col("b.hi") - F.col("b.lo")) / F.lit(buckets)
-        bid = F.when(width <= 0, F.lit(0)).otherwise(
-            F.least(F.floor((F.col("x") - F.col("b.lo")) / width), F.lit(buckets - 1)))
-        hist = hit.groupBy(F.col("b.t").alias("t"), bid.alias("k")).agg(
-            F.count(F.lit(1)).alias("n"), F.min("x").alias("mn"), F.max("x").alias("mx"))
-        per: dict[int, dict[int, tuple]] = {}
-        for r in hist.collect():
-            per.setdefault(r["t"], {})[r["k"]] = (r["n"], r["mn"], r["mx"])
-        small = []
-        for i, key in enumerate(keys):
-            lo, hi, off = open_[key]
-            counts = per.get(i, {})
-            total = sum(v[0] for v in counts.values())
-            if lo == hi or total <= collect_at_most:
-                small.append((i, key))
-                continue
-            want = key[1] - off
-            acc = 0
-            for k in sorted(counts):
-                n, mn, mx = counts[k]
-                if acc + n > want:
-                    # buckets are monotone in x: every value of an earlier
-                    # bucket is below this bucket's minimum
-                    open_[key] = [mn, mx, off + acc]
-                    break
-                acc += n
-        if small:
-            ids = [i for i, _ in small]
-            vals = hit.filter(F.col("b.t").isin(ids)).groupBy(F.col("b.t").alias("t")) \
-                .agg(F.array_sort(F.collect_list("x")).alias("xs")).collect()
-            got = {r["t"]: r["xs"] for r in vals}
-            for i, key in small:
-                lo, hi, off = open_.pop(key)
-                xs = got.get(i) or [lo]
-                done[key] = xs[min(key[1] - off, len(xs) - 1)] if lo != hi else lo
-    return done
+    counts = long.groupBy("c", "x").agg(F.count(F.lit(1)).alias("n"))
+    path = scratch_path(spark, f"profile/{uuid.uuid4().hex[:12]}")
+    counts.repartitionByRange("c", "x").withColumn("part", F.spark_partition_id()).write.parquet(path)
+    ranges = spark.read.parquet(path)
+    earlier = Window.partitionBy("c").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.groupBy("c", "part").agg(F.sum("n").alias("s")) \
+        .select("c", "part", F.coalesce(F.sum("s").over(earlier), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("c", "part").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+    return (ranges.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+            .join(offsets, ["c", "part"])
+            .select("c", "x", "n", (F.col("offset") + F.col("inside")).alias("before")))
 
 
 def profile_describe(df: DataFrame, cols: list[str] | None = None,
-                     probs: tuple[float, ...] = (0.25, 0.5, 0.75)) -> DataFrame:
+                     probs: tuple[float, float, float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """count, mean, std, min, quartiles (linear interpolation between order
-    statistics, as a data-frame describe does), max for each numeric
-    column; infinities are left out.  Moments are one wide aggregation;
-    quartiles come from :func:`exact_order_statistics`."""
+    statistics, as a data-frame describe does), max for each numeric column;
+    infinities are left out.  Moments are one wide aggregation; the order
+    statistics are picked by rank from :func:`ranked_values`."""
     cols = cols or numeric_columns(df)
+    names = ("q25", "q50", "q75")
     aggs = []
     for c in cols:
         fin = _finite(c)
-        aggs += [F.count(fin).alias(f"{c}__count"), F.avg(fin).alias(f"{c}__mean"),
-                 F.stddev_samp(fin).alias(f"{c}__std"), F.min(fin).alias(f"{c}__min"),
-                 F.max(fin).alias(f"{c}__max")]
-    wide = df.agg(*aggs)
-    counts = wide.select(*[F.col(f"{c}__count") for c in cols]).first()
-
-    def positions(n, p):
-        h = (n - 1) * p
-        lo_k = int(h)
-        return h, lo_k, min(lo_k + (1 if h > lo_k else 0), n - 1)
-
-    ranks: dict[str, list[int]] = {}
-    for c in cols:
-        n = counts[f"{c}__count"]
-        if n:
-            ranks[c] = sorted({k for p in probs for k in positions(n, p)[1:]})
-    stats = exact_order_statistics(df, ranks) if ranks else {}
-
-    def quantile(c, p):
-        n = counts[f"{c}__count"]
-        if not n:
-            return F.lit(None).cast("double")
-        h, lo_k, hi_k = positions(n, p)
-        lo_v, hi_v = stats[(c, lo_k)], stats[(c, hi_k)]
-        return F.lit(float(lo_v + (h - lo_k) * (hi_v - lo_v)))
-
-    rows = F.array(*[F.struct(F.lit(c).alias("column_name"),
-                              F.col(f"{c}__count").alias("count"),
-                              F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),
-                              F.col(f"{c}__min").alias("min"),
-                              quantile(c, probs[0]).alias("q25"), quantile(c, probs[1]).alias("q50"),
-                              quantile(c, probs[2]).alias("q75"),
-                              F.col(f"{c}__max").alias("max")) for c in cols])
-    return wide.select(F.inline(rows))
+        aggs.append(F.struct(F.lit(c).alias("column_name"), F.count(fin).alias("count"), F.avg(fin).alias("mean"),
+                             F.stddev_samp(fin).alias("std"), F.min(fin).alias("min"), F.max(fin).alias("max")).alias(c))
+    moments = df.agg(*aggs).select(F.inline(F.array(*[F.col(c) for c in cols])))
+    ranked = ranked_values(df, cols).join(moments.select(F.col("column_name").alias("c"), "count"), "c")
+    picks = []
+    for name, p in zip(names, probs):
+        at = (F.col("count") - 1) * F.lit(p)
+        for side, k in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            holds = (F.col("before") <= k) & (k < F.col("before") + F.col("n"))
+            picks.append(F.max(F.when(holds, F.col("x"))).alias(f"{name}_{side}"))
+    order = ranked.groupBy(F.col("c").alias("column_name")).agg(*picks)
+    out = moments.join(order, "column_name", "left")
+    quartiles = []
+    for name, p in zip(names, probs):
+        at = (F.col("count") - 1) * F.lit(p)
+        lo, hi = F.col(f"{name}_lo"), F.col(f"{name}_hi")
+        quartiles.append((lo + (at - F.floor(at)) * (hi - lo)).alias(name))
+    return out.select("column_name", "count", "mean", "std", "min", *quartiles, "max")
 
 
 def label_counts(df: DataFrame, col: str = "label_raw") -> DataFrame:
@@ -159,7 +105,6 @@ def protocol_share(df: DataFrame, col: str = "protocol_raw") -> DataFrame:
     code = S.tc(F.col(col), "int")
     name = S.lookup(L.PROFILE_PROTOCOL_NAMES, code, "OTHER")
     g = df.groupBy(name.alias("protocol_name")).agg(F.count(F.lit(1)).alias("count"))
-    from pyspark.sql import Window
     from ..plans.common import q_half_up
     # the total is a window over the handful of aggregated rows
     total = F.sum("count").over(Window.partitionBy())

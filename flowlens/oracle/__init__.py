@@ -452,6 +452,19 @@ SELECT column_name, nulls, {HU('nulls * 100', 'n')} AS pct FROM ({parts}) WHERE
 SELECT protocol_name, count, {HU('count * 100', 'SUM(count) OVER ()', 1)} AS pct FROM (
   SELECT CASE TRY_CAST(protocol_raw AS INTEGER) WHEN 6 THEN 'TCP' WHEN 17 THEN 'UDP' WHEN 0 THEN 'ICMP'
          ELSE 'OTHER' END AS protocol_name, COUNT(*) AS count FROM raw GROUP BY 1)"""
+    types = dict(zip(raw_cols, ("bigint", "string", "timestamp_ntz", "bigint", "bigint", "int", "int", "string", "bigint",
+                                "int", "int", "bigint", "bigint", "double", "double", "string")))
+    shape = ", ".join(f"({i}, '{c}', '{types[c]}')" for i, c in enumerate(raw_cols))
+    b["profile_shape"] = f"""
+SELECT ordinal, column_name, data_type, (SELECT COUNT(*) FROM raw) AS n_rows, {len(raw_cols)} AS n_columns
+FROM (VALUES {shape}) s(ordinal, column_name, data_type)"""
+    numbers = [c for c in raw_cols if types[c] in ("bigint", "int", "double")]
+    stats = ", ".join(f"round({e}, 4) AS {n}" for n, e in (
+        ("mean", "avg(x)"), ("std", "stddev_samp(x)"), ("min", "min(x)"), ("q25", "quantile_cont(x, 0.25)"),
+        ("q50", "quantile_cont(x, 0.5)"), ("q75", "quantile_cont(x, 0.75)"), ("max", "max(x)")))
+    b["profile_describe"] = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(x) AS count, {stats} FROM (SELECT CAST({src_of.get(c, c)} AS DOUBLE) AS x FROM raw) "
+        "WHERE x IS NOT NULL AND isfinite(x)" for c in numbers)
     b["ts_range"] = """
 SELECT MIN(ts_raw) AS earliest, MAX(ts_raw) AS latest,
   CAST(epoch_us(MAX(ts_raw)) - epoch_us(MIN(ts_raw)) AS DOUBLE) / 1000000 AS span_seconds FROM raw"""

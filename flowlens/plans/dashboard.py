@@ -152,6 +152,12 @@ def dlq_browse(t, limit: int = L.BROWSE_DEFAULT_LIMIT) -> DataFrame:
     return C.top(t["rejected"], browse_limit(limit), F.col("event_id"))
 
 
+def _describe(t) -> DataFrame:
+    """Moments as shown: four digits, beyond which the order of summation matters."""
+    d = P.profile_describe(t["raw_flows"])
+    return d.select(*[F.round(c, 4).alias(c) if c not in ("column_name", "count") else F.col(c) for c in d.columns])
+
+
 def registry() -> dict[str, Callable]:
     r = {fn.__name__: fn for fn in (
         kpis, day_of_week_heatmap, heatmap_pivot, time_of_day_distribution, weekly_trend,
@@ -166,7 +172,7 @@ def registry() -> dict[str, Callable]:
     r["q8_g"] = lambda t: Q.q8_g(t).withColumn("shared_attacks", F.array_join("shared_attacks", ","))
     # profiling of the raw flow rows
     r["profile_shape"] = lambda t: P.profile_shape(t["raw_flows"])
-    r["profile_describe"] = lambda t: P.profile_describe(t["raw_flows"])
+    r["profile_describe"] = _describe
     r["label_counts"] = lambda t: P.label_counts(t["raw_flows"])
     r["protocol_share"] = lambda t: P.protocol_share(t["raw_flows"])
     r["null_profile"] = lambda t: P.null_profile(t["raw_flows"])

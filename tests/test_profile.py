@@ -1,5 +1,5 @@
-"""Profiling: exact quartiles (distributed selection) equal a data-frame
-describe; forced refinement rounds still give exact order statistics."""
+"""Profiling: exact quartiles (distributed ranks) equal a data-frame describe,
+also where one value holds half the rows."""
 import numpy as np
 
 from flowlens.operators import profile as P
@@ -15,12 +15,14 @@ def test_quartiles_match_pandas(tables):
         assert r["count"] == len(col)
 
 
-def test_order_statistics_with_refinement(tables):
-    raw = tables["raw_flows"]
-    srt = np.sort(raw.toPandas()["flow_duration"].astype(float).values)
-    ks = [0, 3, len(srt) // 2, len(srt) - 1]
-    got = P.exact_order_statistics(raw, {"flow_duration": ks}, buckets=4, collect_at_most=5)
-    assert [got[("flow_duration", k)] for k in ks] == [srt[k] for k in ks]
+def test_one_value_holds_half_the_rows(spark):
+    df = spark.range(4000).selectExpr("if(id % 2 = 0, 7, id) AS x", "if(id < 0, 1D, null) AS none")
+    want = df.toPandas()["x"].astype(float)
+    got = {r.column_name: r for r in P.profile_describe(df).collect()}
+    assert [got["x"].q25, got["x"].q50, got["x"].q75] == want.quantile([0.25, 0.5, 0.75]).tolist()
+    assert got["none"]["count"] == 0 and got["none"].q50 is None
+    ranked = P.ranked_values(df, ["x"]).where("x = 7").first()
+    assert (ranked.n, ranked.before) == (2001, int((want < 7).sum()))
 
 
 def test_null_and_inf_profiles(tables):

@@ -121,9 +121,9 @@ def test_geo_slot_matches_md5_modulo(spark, ip, slot):
 
 
 def test_geo_table_rule():
-    slots = L.geo_slots()
-    assert len(slots) == 100
-    assert {c for c, _ in slots} == {c for c, _, _ in L.COUNTRY_WEIGHTS}
+    ends = [0] + [end for end, _, _ in L.geo_thresholds()]
+    assert ends[-1] == 100
+    assert [b - a for a, b in zip(ends, ends[1:])] == [w for _, _, w in L.COUNTRY_WEIGHTS]
 
 
 def test_geo_deterministic(spark):
