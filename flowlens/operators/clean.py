@@ -28,6 +28,8 @@ NUMERIC_RAW = ["src_port", "dst_port", "flow_duration", "fwd_packets", "bwd_pack
 
 
 def _to_ip(col: str, ip_format: str, numeric: bool = False) -> Column:
+    if ip_format == "by row":
+        return F.when(F.col("_ip_format") == "decimal", S.decimal_to_ip(col)).otherwise(_to_ip(col, "auto"))
     if ip_format == "decimal":
         return S.decimal_to_ip(col, numeric)
     if ip_format == "dotted":
@@ -75,6 +77,8 @@ def clean_flows(raw: DataFrame, ip_format: str = "auto", chunk_size: int = L.REA
     as the cleaning; read them with :func:`clean_stats`.
     """
     df = raw
+    if ip_format == "auto" and "_ip_format" in raw.columns:  # files of both dialects: each row by its file's
+        ip_format = "by row"
     if observations is not None:
         df = df.observe(observations[0], F.count(F.lit(1)).alias("rows_before"))
     # 1. addresses: decimal -> dotted quad (a missing decimal becomes 0.0.0.0)
@@ -82,8 +86,12 @@ def clean_flows(raw: DataFrame, ip_format: str = "auto", chunk_size: int = L.REA
         return isinstance(raw.schema[c].dataType, (T.LongType, T.IntegerType, T.DoubleType))
     df = df.withColumns({"source_ip": _to_ip("src_ip_raw", ip_format, numeric("src_ip_raw")),
                          "destination_ip": _to_ip("dst_ip_raw", ip_format, numeric("dst_ip_raw"))})
-    # 2. +-Infinity (and NaN) -> null
-    df = df.withColumns({c: _finite(c) for c in ("flow_bytes_per_sec", "flow_packets_per_sec")})
+    # 2. +-Infinity (and NaN, also as text) -> null
+    inexact = (T.StringType, T.DoubleType, T.FloatType)
+    df = df.withColumns({c: _finite(c) for c in NUMERIC_RAW if isinstance(raw.schema[c].dataType, inexact)})
+    if isinstance(raw.schema["protocol_raw"].dataType, inexact):
+        number = S.tc(F.col("protocol_raw"), "double")
+        df = df.withColumn("protocol_raw", F.when(number.isNull() | _finite(number).isNotNull(), F.col("protocol_raw")))
     # 3. drop rows without addresses, label or timestamp
     ts_is_text = isinstance(raw.schema["ts_raw"].dataType, T.StringType)
     ts_missing = F.col("ts_raw").isNull()

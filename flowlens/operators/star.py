@@ -4,7 +4,7 @@ Surrogate keys are computed from the natural keys (``xxhash64``) or, for
 time, as a smart key (minutes since the epoch), so the fact is built by a
 narrow projection of the events - no join against the dimensions and no
 shuffle.  Dimensions are first-write-wins: attributes come from the earliest
-arrival (``min_by(.., event_id)``); seed rows carry sequence -1 and win.
+arrival (``min_by(.., event_id)``); seed rows carry a flag and win.
 """
 
 from __future__ import annotations
@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from ..functions import lookups as L
 from ..functions import scalars as S
 
-SEED_SEQ = -1
+def _first(value) -> F.Column:
+    """``value`` of the seed row if there is one, else of the earliest arrival."""
+    return F.min_by(value, F.struct("seen", "seq"))
 
 
 def natural_key(*cols) -> F.Column:
@@ -74,16 +76,16 @@ def dim_destination(events: DataFrame) -> DataFrame:
 
 
 def attack_seeds(spark: SparkSession) -> DataFrame:
-    rows = [(lab, cat, sev, desc, SEED_SEQ) for lab, cat, sev, desc in L.ATTACK_SEEDS]
+    rows = [(lab, cat, sev, desc, False, 0) for lab, cat, sev, desc in L.ATTACK_SEEDS]
     return S.literal_table(spark, rows,
-                           ["attack_label", "attack_category", "severity", "description", "seq"],
-                           ["string", "string", "string", "string", "bigint"])
+                           ["attack_label", "attack_category", "severity", "description", "seen", "seq"],
+                           ["string", "string", "string", "string", "boolean", "bigint"])
 
 
 def protocol_seeds(spark: SparkSession) -> DataFrame:
-    rows = [(name, layer, SEED_SEQ) for name, layer in L.PROTOCOL_SEEDS]
-    return S.literal_table(spark, rows, ["protocol_name", "transport_layer", "seq"],
-                           ["string", "string", "bigint"])
+    rows = [(name, layer, False, 0) for name, layer in L.PROTOCOL_SEEDS]
+    return S.literal_table(spark, rows, ["protocol_name", "transport_layer", "seen", "seq"],
+                           ["string", "string", "boolean", "bigint"])
 
 
 def dim_attack(events: DataFrame, spark: SparkSession | None = None) -> DataFrame:
@@ -95,9 +97,9 @@ def dim_attack(events: DataFrame, spark: SparkSession | None = None) -> DataFram
         F.coalesce("attack_category", F.lit("Unknown")).alias("attack_category"),
         S.coerce_severity("severity").alias("severity"),
         F.lit(None).cast("string").alias("description"),
-        F.col("event_id").alias("seq"))
+        F.lit(True).alias("seen"), F.col("event_id").alias("seq"))
     both = attack_seeds(spark).unionByName(seen)
-    first = F.min_by(F.struct("attack_category", "severity", "description"), F.col("seq"))
+    first = _first(F.struct("attack_category", "severity", "description"))
     return (both.groupBy("attack_label").agg(first.alias("a"))
             .select(attack_key("attack_label").alias("attack_key"), "attack_label",
                     "a.attack_category", "a.severity", "a.description"))
@@ -107,10 +109,10 @@ def dim_protocol(events: DataFrame, spark: SparkSession | None = None) -> DataFr
     spark = spark or events.sparkSession
     seen = events.select(F.col("protocol").alias("protocol_name"),
                          S.transport_layer("protocol").alias("transport_layer"),
-                         F.col("event_id").alias("seq"))
+                         F.lit(True).alias("seen"), F.col("event_id").alias("seq"))
     both = protocol_seeds(spark).unionByName(seen)
     return (both.groupBy("protocol_name")
-            .agg(F.min_by("transport_layer", "seq").alias("transport_layer"))
+            .agg(_first("transport_layer").alias("transport_layer"))
             .select(protocol_key("protocol_name").alias("protocol_key"), "protocol_name",
                     "transport_layer"))
 

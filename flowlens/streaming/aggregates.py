@@ -120,16 +120,19 @@ def emit_changes_to_table(agg: DataFrame, path: str, keys: list[str], checkpoint
     def upsert(batch: DataFrame, batch_id: int):
         spark = batch.sparkSession
         checkpoint_dir(spark)          # registers spark.checkpoint.dir for checkpoint()
-        b = batch.withColumn("_day", F.to_date(F.col(time_col)))
-        stored = _read_or_none(spark, path)
-        if stored is None:
-            merged = b
-        else:
-            touched = b.select("_day").distinct()
-            old = stored.join(touched, "_day", "left_semi").select(*b.columns)
-            merged = replace_by_key(old, b, keys + ["_day"]).checkpoint()
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("_day").parquet(path))
+        b = batch.withColumn("_day", F.to_date(F.col(time_col))).persist()  # the state is computed once
+        try:
+            stored = _read_or_none(spark, path)
+            if stored is None:
+                merged = b
+            else:
+                touched = b.select("_day").distinct()
+                old = stored.join(touched, "_day", "left_semi").select(*b.columns)
+                merged = replace_by_key(old, b, keys + ["_day"]).checkpoint()
+            (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("_day").parquet(path))
+        finally:
+            b.unpersist()
 
     return (agg.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
             .foreachBatch(upsert))

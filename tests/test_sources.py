@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from flowlens.operators import clean, logs
+from flowlens.operators import clean, logs, star
 from flowlens.sources import csv as C
 from flowlens.sources import logs as LS
 from flowlens.sources import messages as M
@@ -30,12 +30,12 @@ def test_csv_two_dialects_and_malformed_line(spark, tmpdir_path):
         f.write("3232235777,1,167772161,443,17,6/7/2017 9:00,5,1,1,1,1,1.0,1.0,PortScan\n")
         f.write(",1,167772161,443,x,6/7/2017 9:01,5,1,1,1,1,1.0,1.0,Bot\n")
     raw = C.read_flows(spark, tmpdir_path)
-    parts = []
-    for fmt in ("auto", "decimal"):
-        parts.append(clean.clean_flows(raw.filter(F.col("_ip_format") == fmt).drop("_ip_format"),
-                                       ip_format=fmt))
-    ev = parts[0].unionByName(parts[1])
+    ev = clean.clean_flows(raw)
     rows = {r.label: r for r in ev.collect()}
+    by_id = [r.label for r in sorted(rows.values(), key=lambda r: r.event_id)]
+    assert by_id == ["PortScan", "Bot", "BENIGN", "DoS Hulk"] and rows["PortScan"].event_id == 0
+    dim = {r.attack_label: r.description for r in star.dim_attack(ev).collect()}
+    assert dim["BENIGN"] and dim["DoS Hulk"] and dim["Bot"]   # seeds win
     assert set(rows) == {"BENIGN", "DoS Hulk", "PortScan", "Bot"}   # over-long line and null label gone
     assert rows["DoS Hulk"].flow_bytes_per_sec == 0.0
     assert rows["DoS Hulk"].timestamp == datetime.datetime(2017, 7, 5, 8, 43)
@@ -43,6 +43,16 @@ def test_csv_two_dialects_and_malformed_line(spark, tmpdir_path):
     assert rows["Bot"].source_ip == "0.0.0.0" and rows["Bot"].protocol == "OTHER"
 
 
+def test_infinity_and_nan_in_any_number(spark, tmpdir_path):
+    with open(os.path.join(tmpdir_path, "monday.csv"), "w") as f:
+        f.write(STD + "\n")
+        f.write("1.1.1.1,1,2.2.2.2,80,NaN,3/7/2017 8:42,Infinity,NaN,-Infinity,5,6,NaN,1.0,BENIGN\n")
+        f.write('"1.1.1.1",1,"2.2.2.2",80,6,3/7/2017 8:43,1,1,1,5,6,1.0,1.0,"a, b"\n')
+    a, b = clean.clean_flows(C.read_flows(spark, tmpdir_path)).orderBy("event_id").collect()
+    assert (a.protocol, a.flow_duration, a.fwd_packets, a.bwd_packets, a.fwd_bytes) == ("HOPOPT", 0, 0, 0, 5)
+    assert a.flow_bytes_per_sec == 0.0 and b.label == "a, b"
+
+
 def test_timestamp_rebuild_per_chunk(spark, tmpdir_path):
     with open(os.path.join(tmpdir_path, "tuesday.csv"), "w") as f:
         f.write(STD + "\n")
