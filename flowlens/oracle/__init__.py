@@ -230,7 +230,7 @@ FROM fe WHERE is_attack GROUP BY label, d_category"""
     pc = """(SELECT source_ip AS ip, source_port AS port, label, COUNT(*) AS c FROM fe WHERE is_attack
   GROUP BY source_ip, source_port, label)"""
     b["q8_f"] = f"""
-SELECT a.ip AS ip1, b.ip AS ip2, a.label AS shared_attack, CAST(SUM(a.c * b.c) AS BIGINT) AS co_count
+SELECT a.ip AS ip1, b.ip AS ip2, a.label AS shared_attack, CAST(SUM(a.c * b.c) AS DOUBLE) AS co_count
 FROM {pc} a JOIN {pc} b ON a.label = b.label AND (a.ip < b.ip OR (a.ip = b.ip AND a.port < b.port))
 GROUP BY a.ip, b.ip, a.label
 ORDER BY co_count DESC, ip1, ip2, shared_attack LIMIT 20"""
@@ -465,6 +465,24 @@ FROM (VALUES {shape}) s(ordinal, column_name, data_type)"""
     b["profile_describe"] = " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(x) AS count, {stats} FROM (SELECT CAST({src_of.get(c, c)} AS DOUBLE) AS x FROM raw) "
         "WHERE x IS NOT NULL AND isfinite(x)" for c in numbers)
+    # ------------------------------------------------------------ one day of Q2
+    day = f"CAST(hour_bucket AS DATE) = DATE '{L.SAMPLE_DAY}'"
+    for name in ("q2_s", "q2_f", "q2_ds"):
+        b[f"{name}_day"] = f"SELECT * FROM ({b[name]}) WHERE {day}"
+    b["q2_g_day"] = f"SELECT * FROM ({b['q2_g']}) WHERE starts_with(hour_bucket, '{L.SAMPLE_DAY}')"
+    # ------------------------------------------------------------ messages and logs
+    b["message_round_trip"] = f"SELECT * REPLACE (date_trunc('second', timestamp) AS timestamp) FROM ({b['clean_flows'].replace('FROM flows', 'FROM ev')})"
+    level = "CASE WHEN label_raw IS NULL THEN 'JUNK' WHEN label_raw = 'BENIGN' THEN 'INFO' ELSE 'WARNING' END"
+    parts = f"""SELECT strftime(CAST(ts_raw AS TIMESTAMP), '%Y-%m-%d %H:%M:%S,%g') AS timestamp,
+  'port-' || dst_port AS service, {level} AS level, 'flows' AS logger, 'flow ' || event_id AS message, event_id AS line_no FROM raw"""
+    line = "CASE WHEN level = 'JUNK' THEN message ELSE timestamp || ' [flows] ' || level || ': ' || message END AS line"
+    tail = f"""SELECT *, {line} FROM (SELECT *, row_number() OVER (PARTITION BY service ORDER BY line_no DESC) AS r
+FROM ({parts})) WHERE r <= {L.BROWSE_DEFAULT_LIMIT}"""
+    b["parse_logs"] = f"SELECT * FROM ({parts}) WHERE level <> 'JUNK'"
+    b["tail_per_service"] = f"SELECT line, service, line_no FROM ({tail})"
+    b["merged_logs"] = f"""SELECT timestamp, service, level, logger, message FROM ({tail}) WHERE level <> 'JUNK'
+ORDER BY timestamp DESC, service, line_no DESC LIMIT {L.BROWSE_DEFAULT_LIMIT}"""
+    b["log_level_counts"] = f"SELECT service, level, COUNT(*) AS count FROM ({parts}) WHERE level <> 'JUNK' GROUP BY service, level"
     b["ts_range"] = """
 SELECT MIN(ts_raw) AS earliest, MAX(ts_raw) AS latest,
   CAST(epoch_us(MAX(ts_raw)) - epoch_us(MIN(ts_raw)) AS DOUBLE) / 1000000 AS span_seconds FROM raw"""

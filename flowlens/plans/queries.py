@@ -235,14 +235,14 @@ def q8_f(t, limit: int = 20):
     """
     k = max(limit, 1) + 1
     f = _fact(t).filter("is_attack").groupBy("source_key", "attack_key").agg(
-        F.count(F.lit(1)).alias("c"))
+        F.count(F.lit(1)).cast("decimal(19,0)").alias("c"))  # products go beyond BIGINT
     ds = t["dim_source"].select("source_key", "source_ip")
     per = (f.join(ds, "source_key").join(_attack_dim(t, "attack_label"), "attack_key")
            .groupBy("source_ip", "attack_label")
-           .agg(F.sum("c").alias("a"), F.sum(F.col("c") * F.col("c")).alias("sq")))
+           .agg(F.sum("c").cast("decimal(19,0)").alias("a"), F.sum(F.col("c") * F.col("c")).alias("sq")))
     self_pairs = (per.select(F.col("source_ip").alias("ip1"), F.col("source_ip").alias("ip2"),
                              F.col("attack_label").alias("shared_attack"),
-                             ((F.col("a") * F.col("a") - F.col("sq")) / 2).cast("bigint").alias("co_count"))
+                             ((F.col("a") * F.col("a") - F.col("sq")) / 2).cast("decimal(38,0)").alias("co_count"))
                   .filter(F.col("co_count") > 0))
     w = Window.partitionBy("attack_label").orderBy(F.desc("a"), "source_ip")
     cand = per.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= k).drop("rn", "sq")
@@ -251,7 +251,7 @@ def q8_f(t, limit: int = 20):
                      & (F.col("x.source_ip") < F.col("y.source_ip")))
              .select(F.col("x.source_ip").alias("ip1"), F.col("y.source_ip").alias("ip2"),
                      F.col("x.attack_label").alias("shared_attack"),
-                     (F.col("x.a") * F.col("y.a")).alias("co_count")))
+                     (F.col("x.a") * F.col("y.a")).cast("decimal(38,0)").alias("co_count")))
     return C.top(cross.unionByName(self_pairs), limit,
                  F.desc("co_count"), "ip1", "ip2", "shared_attack")
 

@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import nested, star
+from ..functions import lookups as L
+from ..operators import logs, nested, star
 from . import common as C
 from . import dashboard as D
 from . import queries as Q
@@ -76,6 +77,22 @@ def _dim_upsert(t) -> DataFrame:
     return upsert.insert_new_keys(d1, d2, ["source_ip", "source_port"])
 
 
+def _message_round_trip(t) -> DataFrame:
+    """Every valid event published as a message and parsed again."""
+    from ..sources import messages as M
+    return M.good_events(M.parse_messages(M.to_message(t["events"]), "value", "event_id"))
+
+
+def _log_lines(t) -> DataFrame:
+    """Log lines of the raw flows, a service for each destination port; flows
+    without a label give lines that are no log records."""
+    raw, says = t["raw_flows"], F.concat(F.lit("flow "), "event_id")
+    level = F.when(F.col("label_raw") == "BENIGN", "INFO").otherwise("WARNING")
+    line = F.concat(F.date_format("ts_raw", "yyyy-MM-dd HH:mm:ss,SSS"), F.lit(" [flows] "), level, F.lit(": "), says)
+    return raw.select(F.when(F.col("label_raw").isNull(), says).otherwise(line).alias("line"),
+                      F.concat(F.lit("port-"), "dst_port").alias("service"), F.col("event_id").alias("line_no"))
+
+
 def registry() -> dict[str, Callable]:
     r: dict[str, Callable] = {
         "clean_flows": lambda t: t["flow_events"],
@@ -105,5 +122,11 @@ def registry() -> dict[str, Callable]:
                Q.q1_g, Q.q2_g, Q.q3_g, Q.q4_g, Q.q5_g, Q.q6_g, Q.q7_g, Q.q9_g,
                Q.q10_g, Q.q11_g, Q.q12_g, Q.top_attacked_destinations):
         r[fn.__name__] = fn
+    r["q8_f"] = lambda t: C.decimals_to_double(Q.q8_f(t))
+    for fn in (Q.q2_s, Q.q2_f, Q.q2_ds, Q.q2_g):
+        r[f"{fn.__name__}_day"] = (lambda f: lambda t: f(t, L.SAMPLE_DAY))(fn)
+    r["message_round_trip"] = _message_round_trip
+    for fn in (logs.parse_logs, logs.tail_per_service, logs.merged_logs, logs.log_level_counts):
+        r[fn.__name__] = (lambda f: lambda t: f(_log_lines(t)))(fn)
     r.update(D.registry())
     return r

@@ -27,7 +27,8 @@ def to_message(events: DataFrame) -> DataFrame:
 
 
 def parse_messages(lines: DataFrame, value_col: str = "value", seq_col: str | None = None) -> DataFrame:
-    """JSON text -> typed events + ``_error`` (null when the line is good)."""
+    """JSON text -> typed events + ``_parse_error`` (null when the line is good).
+    Without ``seq_col`` the event_id stays null until :func:`sequenced`."""
     parsed = F.from_json(F.col(value_col), MESSAGE_SCHEMA, {"mode": "PERMISSIVE"})
     df = lines.select("*", parsed.alias("m"))
     is_sentinel = F.col("m._sentinel") == F.lit(L.END_OF_STREAM)
@@ -38,7 +39,7 @@ def parse_messages(lines: DataFrame, value_col: str = "value", seq_col: str | No
            .when(F.col("m.label").isNull(), F.lit("missing label")))
     out = df.filter(~F.coalesce(is_sentinel, F.lit(False))).select(
         *( [F.col(seq_col).alias("event_id")] if seq_col else
-           [F.monotonically_increasing_id().alias("event_id")]),
+           [F.lit(None).cast("bigint").alias("event_id")]),
         F.col(value_col).alias("value"),
         *[F.col(f"m.{f}").alias(f) for f in EVENT_SCHEMA.fieldNames() if f != "timestamp"],
         S.iso_parse(F.col("m.timestamp")).alias("timestamp"),
@@ -51,6 +52,16 @@ def read_messages(spark: SparkSession, path: str) -> DataFrame:
     return parse_messages(lines, "value", "seq")
 
 
+def sequenced(batch: DataFrame, batch_id: int) -> DataFrame:
+    """``batch`` with ``event_id``: micro-batch (20 bits), partition (13), row
+    (30), in this order.  A batch beyond these sizes fails; ids never repeat."""
+    at = F.monotonically_increasing_id()
+    part, row = F.shiftright(at, 33), at.bitwiseAND((1 << 33) - 1)
+    fits = (part < (1 << 13)) & (row < (1 << 30)) & F.lit(batch_id < 1 << 20)
+    return batch.withColumn("event_id", F.when(fits, F.lit(batch_id << 43) + F.shiftleft(part, 30) + row)
+                            .otherwise(F.raise_error(F.lit("micro-batch too large for arrival ids")).cast("bigint")))
+
+
 def dead_letters(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("_parse_error").isNotNull()).select(
         "event_id", "value", F.col("_parse_error").alias("_error"))
@@ -70,7 +81,8 @@ def write_messages(events: DataFrame, path: str) -> None:
 
 def stream_messages(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None):
     """Streaming source over a folder of JSON-lines files: parsed events with
-    ``_parse_error``; the sentinel record is dropped."""
+    ``_parse_error``; the sentinel record is dropped.  Arrival ids are given to
+    each micro-batch by :func:`sequenced`, as the fan-out does."""
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)

@@ -147,6 +147,8 @@ def _read_or_none(spark: SparkSession, path: str):
         raise
 
 
-def pull_query(spark: SparkSession, path: str) -> DataFrame:
-    """Current content of a table kept by :func:`emit_changes_to_table`."""
-    return spark.read.parquet(path).drop("_day")
+def pull_query(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Current content of a table kept by :func:`emit_changes_to_table`.  With
+    the aggregate's ``schema``, a table without rows yet is empty."""
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(path).drop("_day")

@@ -60,8 +60,16 @@ def write_models(batch: DataFrame, batch_id: int, base: str,
 
 
 def fanout_stream(events: DataFrame, base: str, checkpoint: str, trusted_lookups: bool = False):
-    """``writeStream`` that fans every micro-batch out to all models."""
+    """``writeStream`` that fans every micro-batch out to all models.  Parsed
+    messages get their arrival ids here; lines that failed to parse are kept
+    under ``parse_dead_letters``."""
+    from ..sources import messages
+
     def each(batch: DataFrame, batch_id: int):
+        if "_parse_error" in batch.columns:
+            batch = messages.sequenced(batch, batch_id)
+            _write(messages.dead_letters(batch), f"{base}/parse_dead_letters", batch_id)
+            batch = messages.good_events(batch)
         failed = {k: v for k, v in write_models(batch, batch_id, base, trusted_lookups).items() if v != "ok"}
         if failed:  # the batch is replayed; writes are keyed by its id
             raise RuntimeError(f"batch {batch_id}: models not written: {failed}")

@@ -101,6 +101,19 @@ def test_messages_sentinel_and_dead_letters(spark, tmpdir_path):
     assert ev.timestamp == datetime.datetime(2017, 7, 5, 10, 30)
 
 
+def test_message_stream(spark, tables, tmpdir_path):
+    from flowlens.streaming import fanout
+    source, base = f"{tmpdir_path}/in", f"{tmpdir_path}/out"
+    M.write_messages(tables["events"], source)
+    with open(f"{source}/part-last.txt", "w") as f:
+        f.write('{broken json\n{"_sentinel":"END_OF_STREAM","total_records":1}\n')
+    q = fanout.fanout_stream(M.stream_messages(spark, source, 3), base, f"{tmpdir_path}/cp").trigger(availableNow=True).start()
+    q.awaitTermination()
+    fact = spark.read.parquet(f"{base}/fact_network_event")
+    assert fact.count() == tables["events"].count() == fact.select("event_id").distinct().count()
+    assert [r.value for r in spark.read.parquet(f"{base}/parse_dead_letters").collect()] == ["{broken json"]
+
+
 def test_logs(spark, tmpdir_path):
     with open(os.path.join(tmpdir_path, "producer.log"), "w") as f:
         for i in range(10):
