@@ -60,6 +60,14 @@ def decimal_to_ip(x, numeric: bool = False) -> Column:
     return F.when(ok, dotted_quad(F.floor(d))).otherwise(F.lit("0.0.0.0"))
 
 
+def ip_to_decimal(ip) -> Column:
+    """IPv4 text -> its number as BIGINT; null for anything else."""
+    ip = _c(ip)
+    parts = [tc(F.split_part(ip, F.lit("."), F.lit(k)), "bigint") for k in (1, 2, 3, 4)]
+    total = ((parts[0] * 256 + parts[1]) * 256 + parts[2]) * 256 + parts[3]
+    return F.when(is_ipv4(ip), total)
+
+
 def looks_decimal_ip(x) -> Column:
     """Per-row form of the 'is this column decimal' test: all digits, or a
     number with one dot that is not within its first five characters."""

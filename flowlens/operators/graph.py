@@ -99,19 +99,3 @@ def e_used_protocol(g: DataFrame) -> DataFrame:
 
 def e_active_in(g: DataFrame) -> DataFrame:
     return g.groupBy("label", "hour_bucket").agg(F.count(F.lit(1)).alias("event_count"))
-
-
-def property_graph(events: DataFrame) -> dict[str, DataFrame]:
-    g = graph_input(events)
-    return {
-        "v_source_ip": v_source_ip(g),
-        "v_destination_ip": v_destination_ip(g),
-        "v_attack_type": v_attack_type(g),
-        "v_protocol": v_protocol(g),
-        "v_time_window": v_time_window(g),
-        "e_attacked": e_attacked(g),
-        "e_used_attack": e_used_attack(g),
-        "e_targeted_by": e_targeted_by(g),
-        "e_used_protocol": e_used_protocol(g),
-        "e_active_in": e_active_in(g),
-    }

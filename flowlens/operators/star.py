@@ -1,10 +1,12 @@
 """Star schema: five dimensions and the fact table.
 
-Surrogate keys are computed from the natural keys (``xxhash64``) or, for
-time, as a smart key (minutes since the epoch), so the fact is built by a
+Surrogate keys are computed from the natural keys, so the fact is built by a
 narrow projection of the events - no join against the dimensions and no
-shuffle.  Dimensions are first-write-wins: attributes come from the earliest
-arrival (``min_by(.., event_id)``); seed rows carry a flag and win.
+shuffle.  Time has a smart key (minutes since the epoch); an end point packs
+its IPv4 address and port into 48 bits (``address << 16 | port``), which is
+exact and can be read back; labels and protocols are hashed (``xxhash64``; a
+few dozen values).  Dimensions are first-write-wins: attributes come from the
+earliest arrival (``min_by(.., event_id)``); seed rows carry a flag and win.
 """
 
 from __future__ import annotations
@@ -28,12 +30,26 @@ def time_key(ts="timestamp") -> F.Column:
     return S.minute_key(ts)
 
 
+def endpoint_key(ip, port) -> F.Column:
+    """IPv4 address and port in 48 bits; null unless both are valid."""
+    port = F.when(S._c(port).between(0, 65535), S._c(port).cast("bigint"))
+    return F.shiftleft(S.ip_to_decimal(ip), 16).bitwiseOR(port)
+
+
+def endpoint_ip(key) -> F.Column:
+    return S.dotted_quad(F.shiftright(S._c(key), 16))
+
+
+def endpoint_port(key) -> F.Column:
+    return S._c(key).bitwiseAND(F.lit(65535)).cast("int")
+
+
 def source_key(ip="source_ip", port="source_port") -> F.Column:
-    return natural_key(ip, port)
+    return endpoint_key(ip, port)
 
 
 def dest_key(ip="destination_ip", port="destination_port") -> F.Column:
-    return natural_key(ip, port)
+    return endpoint_key(ip, port)
 
 
 def attack_key(label="label") -> F.Column:
@@ -139,27 +155,17 @@ def fact_network_event(events: DataFrame) -> DataFrame:
     )
 
 
-def star_schema(events: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "dim_time": dim_time(events),
-        "dim_source": dim_source(events),
-        "dim_destination": dim_destination(events),
-        "dim_attack": dim_attack(events),
-        "dim_protocol": dim_protocol(events),
-        "fact_network_event": fact_network_event(events),
-    }
-
-
 def fact_with_natural_keys(t: dict[str, DataFrame]) -> DataFrame:
-    """Fact joined back to its dimensions (natural columns, no surrogate keys).
+    """The fact with natural columns in place of its surrogate keys.
 
-    Used for exports and checks; queries aggregate on keys first and join the
-    (much smaller) aggregate instead.
+    Minutes, addresses and ports are read from their keys; only labels and
+    protocols join their dimensions (a few dozen rows each), so the fact is not
+    shuffled.  Used for exports and checks; queries aggregate on keys first.
     """
-    f = t["fact_network_event"]
-    return (f.join(t["dim_time"].select("time_key", F.col("timestamp").alias("minute")), "time_key")
-            .join(t["dim_source"].select("source_key", "source_ip", "source_port"), "source_key")
-            .join(t["dim_destination"].select("dest_key", "dest_ip", "dest_port"), "dest_key")
-            .join(t["dim_attack"].select("attack_key", "attack_label"), "attack_key")
+    f = t["fact_network_event"].withColumns({
+        "minute": S.key_to_minute("time_key"),
+        "source_ip": endpoint_ip("source_key"), "source_port": endpoint_port("source_key"),
+        "dest_ip": endpoint_ip("dest_key"), "dest_port": endpoint_port("dest_key")})
+    return (f.join(t["dim_attack"].select("attack_key", "attack_label"), "attack_key")
             .join(t["dim_protocol"].select("protocol_key", "protocol_name"), "protocol_key")
             .drop("time_key", "source_key", "dest_key", "attack_key", "protocol_key"))

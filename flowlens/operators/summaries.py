@@ -8,7 +8,7 @@ smart time key, so no summary joins ``dim_time``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import lookups as L
@@ -65,24 +65,36 @@ def summary_attack_hourly(t: dict[str, DataFrame]) -> DataFrame:
 def summary_top_sources(t: dict[str, DataFrame], severity_order: str = "text") -> DataFrame:
     """Per day and source address.  ``severity_order='text'`` keeps the
     original MAX over severity text (MEDIUM > LOW > HIGH > CRITICAL);
-    ``'rank'`` takes the most severe level instead."""
-    f = t["fact_network_event"].select(day_of_key().alias("day_bucket"), "source_key",
-                                       "dest_key", "attack_key", "is_attack")
+    ``'rank'`` takes the most severe level instead.
+
+    The fact is aggregated on its keys before it is joined.  The joined
+    aggregate is then grouped once by label and once by target; both kinds of
+    partial rows meet in the last grouping, so a source with a large share of
+    all rows is spread by its labels and targets until then.
+    """
+    f = t["fact_network_event"].groupBy(day_of_key().alias("day_bucket"), "source_key", "dest_key", "attack_key") \
+        .agg(F.count(F.lit(1)).alias("n"), F.count_if("is_attack").alias("a"))
     ds = t["dim_source"].select("source_key", "source_ip", "country")
     da = t["dim_attack"].select("attack_key", "attack_label", "severity")
     j = f.join(ds, "source_key").join(da, "attack_key")
+    day, ip, country, label, severity, target = (
+        F.col(c) for c in ("day_bucket", "source_ip", "country", "attack_label", "severity", "dest_key"))
+    parts = j.groupingSets([[day, ip, country, label, severity], [day, ip, country, target]],
+                           day, ip, country, label, severity, target) \
+        .agg(F.sum("n").alias("n"), F.sum("a").alias("a"), (F.grouping("dest_key") == 1).alias("by_label"))
     if severity_order == "rank":
         rank = S.lookup(SEVERITY_RANK, F.col("severity"), 0)
         max_sev = F.max_by("severity", rank)
     else:
         max_sev = F.max("severity")
-    g = j.groupBy("day_bucket", "source_ip", "country").agg(
-        F.count_if("is_attack").alias("attack_count"),
-        F.count(F.lit(1)).alias("n"),
-        F.count_distinct("dest_key").alias("distinct_targets"),
-        F.mode("attack_label", True).alias("primary_attack"),
+    most = F.when(F.col("by_label"), F.struct((-F.col("n")).alias("n"), "attack_label"))
+    g = parts.groupBy("day_bucket", "source_ip", "country").agg(
+        F.sum(F.when(F.col("by_label"), F.col("a"))).alias("attack_count"),
+        F.sum(F.when(F.col("by_label"), F.col("n"))).alias("n"),
+        F.count_if(~F.col("by_label")).alias("distinct_targets"),
+        F.min_by("attack_label", most).alias("primary_attack"),
         max_sev.alias("max_severity"))
-    score = _exact(F.col("attack_count") * F.col("distinct_targets")
+    score = _exact(F.col("attack_count").cast("decimal(20,0)") * F.col("distinct_targets")
                    * severity_weight(F.col("max_severity")), F.col("n"))
     return g.select(
         "day_bucket", "source_ip", "country",
@@ -148,25 +160,31 @@ BUILDERS = {
 }
 
 
-def all_summaries(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: build(t) for name, build in BUILDERS.items()}
-
-
-def refresh_all(t: dict[str, DataFrame], path: str) -> dict[str, str]:
-    """Rebuild all six summaries under ``path``; one failing summary does not
-    stop the others.  Returns {summary: 'ok' | error text}."""
+def refresh_all(t: dict[str, DataFrame], path: str, refresh: int) -> dict[str, str]:
+    """Rebuild all six summaries, each under ``path/<name>/refresh=<refresh>``:
+    what earlier refreshes wrote stays in place, so a failure leaves the last
+    complete one.  One failing summary does not stop the others.  ``refresh``
+    has to rise (a batch id does).  Returns {summary: 'ok' | error text}."""
     status = {}
     for name, build in BUILDERS.items():
         try:
-            build(t).write.mode("overwrite").parquet(f"{path}/{name}")
+            build(t).write.mode("overwrite").parquet(f"{path}/{name}/refresh={refresh}")
             status[name] = "ok"
         except Exception as e:  # noqa: BLE001
             status[name] = str(e)
     return status
 
 
+def current_summary(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """A summary as its latest refresh left it."""
+    every = spark.read.parquet(f"{path}/{name}")
+    latest = every.agg(F.max("refresh")).first()[0]
+    return every.filter(F.col("refresh") == F.lit(latest)).drop("refresh")
+
+
 class RefreshPolicy:
-    """Refresh after every ``every_rows`` inserted rows (and at the end)."""
+    """Refresh after every ``every_rows`` inserted rows; the count starts anew
+    with a restarted stream."""
 
     def __init__(self, every_rows: int = L.SUMMARY_REFRESH_ROWS):
         self.every_rows = every_rows

@@ -83,6 +83,9 @@ def build_tables(spark: SparkSession, sf_dir: str) -> Tables:
                               raw=raw)
 
 
+#: Stored table of all cleaned events with their first error.
+CHECKED = "checked_events"
+
 # Stored layout: daily tables are partitioned by day, so a day filter reads
 # only that day's files (the role indexes on the day column played).
 PARTITION_BY = {
@@ -96,26 +99,19 @@ PARTITION_BY = {
 def write_tables(t: Tables, path: str, names: list[str] | None = None, parallel: int = 4) -> None:
     """Materialise tables as parquet under ``path`` (overwrite).
 
-    The validated events are written first and every model is built from
-    that written table: lineage is cut there (a lost executor recomputes
+    Every cleaned row is written once, with its first error (null for a valid
+    row); valid events and quarantine are two filters on that table.  All
+    models are built from it: lineage is cut there (a lost executor recomputes
     from the stored events, not from the raw input) and cleaning runs once.
     """
     names = list(names or MODEL_ORDER)
     spark = t["flow_events"].sparkSession
     if getattr(t, "validated", False):
-        t["events"].write.mode("overwrite").parquet(f"{path}/events")
+        checked = t["events"].withColumn("_error", F.lit(None).cast("string"))
     else:
-        # one pass: every cleaned row with its first error (no filter, so the
-        # cleaning is not re-evaluated inside a pushed-down predicate), then
-        # good rows and quarantine are split from the written table
         checked = validate.with_errors(t["flow_events"], getattr(t, "trusted_lookups", False))
-        checked.write.mode("overwrite").parquet(f"{path}/_checked")
-        c = spark.read.parquet(f"{path}/_checked")
-        c.filter(F.col("_error").isNull()).drop("_error").write.mode("overwrite").parquet(f"{path}/events")
-        if "rejected" in names:
-            c.filter(F.col("_error").isNotNull()).select("event_id", "source_ip", "label", "_error") \
-                .write.mode("overwrite").parquet(f"{path}/rejected")
-    stored = tables_from_events(spark.read.parquet(f"{path}/events"), validated=True)
+    checked.write.mode("overwrite").parquet(f"{path}/{CHECKED}")
+    stored = tables_from_events(read_table(spark, path, "events"), validated=True)
     todo = []
     for name in names:
         if name in ("events", "rejected"):
@@ -135,8 +131,19 @@ def write_tables(t: Tables, path: str, names: list[str] | None = None, parallel:
             f.result()
 
 
+def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
+    """One stored table.  ``flow_events`` (all cleaned rows), ``events`` and
+    ``rejected`` are views of the one table of checked events."""
+    if name not in ("flow_events", "events", "rejected"):
+        return spark.read.parquet(f"{path}/{name}")
+    checked = spark.read.parquet(f"{path}/{CHECKED}")
+    if name == "rejected":
+        return checked.filter(F.col("_error").isNotNull()).select("event_id", "source_ip", "label", "_error")
+    return (checked.filter(F.col("_error").isNull()) if name == "events" else checked).drop("_error")
+
+
 def read_tables(spark: SparkSession, path: str, names: list[str] | None = None) -> dict:
-    return {name: spark.read.parquet(f"{path}/{name}") for name in names or MODEL_ORDER}
+    return {name: read_table(spark, path, name) for name in names or MODEL_ORDER}
 
 
 _STORED: dict = {}
@@ -146,8 +153,8 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """All models for ``sf_dir``, written once per Spark application under
     the shared checkpoint folder and read back; later calls reuse them.
 
-    Raw and cleaned-but-unvalidated rows stay lazy (they are one projection
-    of the input); everything else is read from the written tables.
+    Raw rows stay lazy (they are one projection of the input); everything
+    else is read from the written tables.
     """
     from ..session import scratch_path
     key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf_dir)
@@ -156,11 +163,10 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> Tables:
         lazy = build_tables(spark, sf_dir)
         path = scratch_path(spark, f"warehouse-{uuid.uuid4().hex[:12]}")
         write_tables(lazy, path)
-        st = tables_from_events(spark.read.parquet(f"{path}/events"), validated=True,
+        st = tables_from_events(read_table(spark, path, "events"), validated=True,
                                 raw=lazy["raw_flows"])
-        for name in MODEL_ORDER:
-            st[name] = spark.read.parquet(f"{path}/{name}")
-        st["flow_events"] = lazy["flow_events"]
+        for name in ["flow_events", *MODEL_ORDER]:
+            st[name] = read_table(spark, path, name)
         st["raw_flows"] = lazy["raw_flows"]
         _STORED[key] = st
     return _STORED[key]

@@ -4,6 +4,10 @@
 and writes each model under ``batch_id=<n>``; a replayed batch overwrites the
 same directory, so delivery is effectively exactly-once.  A failing model
 write is recorded and does not stop the others.
+
+Facts, documents and dead letters of all batches simply add up.  Dimensions
+and vertices are first-write-wins (``merged_first``), edges and the hourly
+document summary are additive (``merged_edges``, ``merged_hourly_documents``).
 """
 
 from __future__ import annotations
@@ -13,10 +17,19 @@ import logging
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import graph, nested, star, validate
+from ..operators import graph, nested, star, summaries, upsert, validate
 
 log = logging.getLogger(__name__)
 
+#: First-write-wins models and the key of each.
+FIRST_WINS = {
+    "dim_time": "time_key", "dim_source": "source_key", "dim_destination": "dest_key",
+    "dim_attack": "attack_key", "dim_protocol": "protocol_key",
+    "v_source_ip": "ip", "v_destination_ip": "ip", "v_attack_type": "label", "v_protocol": "name",
+    "v_time_window": "hour_bucket",
+}
+EDGES = ("e_attacked", "e_used_attack", "e_targeted_by", "e_used_protocol", "e_active_in")
+
 
 def _write(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -24,8 +37,9 @@ def _write(df: DataFrame, path: str, batch_id: int) -> None:
 
 def write_models(batch: DataFrame, batch_id: int, base: str,
                  trusted_lookups: bool = False) -> dict[str, str]:
-    """Write fact, documents, edge partial aggregates and dead letters of one
-    batch.  Returns {model: 'ok' | error text}."""
+    """Write every model of one batch: dead letters, fact, dimensions,
+    documents and their hourly summary, vertices and edges.  Returns
+    {model: 'ok' | error text}."""
     status: dict[str, str] = {}
     batch = batch.persist()
     checked = validate.with_errors(batch, trusted_lookups).persist()
@@ -33,22 +47,21 @@ def write_models(batch: DataFrame, batch_id: int, base: str,
         good = checked.filter(F.col("_error").isNull()).drop("_error")
         bad = checked.filter(F.col("_error").isNotNull())
         g = graph.graph_input(good)
-        writes = {
-            "dead_letters": lambda: _write(bad.select(F.to_json(F.struct(*batch.columns)).alias("value"),
-                                                      "_error", "source_ip", "label", "event_id"),
-                                           f"{base}/dead_letters", batch_id),
-            "fact_network_event": lambda: _write(star.fact_network_event(good),
-                                                 f"{base}/fact_network_event", batch_id),
-            "documents": lambda: _write(nested.flow_document(good), f"{base}/documents", batch_id),
-            "e_attacked": lambda: _write(graph.e_attacked(g), f"{base}/e_attacked", batch_id),
-            "e_used_attack": lambda: _write(graph.e_used_attack(g), f"{base}/e_used_attack", batch_id),
-            "e_targeted_by": lambda: _write(graph.e_targeted_by(g), f"{base}/e_targeted_by", batch_id),
-            "e_used_protocol": lambda: _write(graph.e_used_protocol(g), f"{base}/e_used_protocol", batch_id),
-            "e_active_in": lambda: _write(graph.e_active_in(g), f"{base}/e_active_in", batch_id),
+        docs = nested.flow_document(good)
+        models = {
+            "dead_letters": bad.select(F.to_json(F.struct(*batch.columns)).alias("value"),
+                                       "_error", "source_ip", "label", "event_id"),
+            "fact_network_event": star.fact_network_event(good),
+            "documents": docs,
+            "doc_hourly_summary": nested.hourly_document_summary(docs),
         }
-        for name, fn in writes.items():
+        for name in FIRST_WINS:
+            models[name] = getattr(star, name)(good) if name.startswith("dim_") else getattr(graph, name)(g)
+        for name in EDGES:
+            models[name] = getattr(graph, name)(g)
+        for name, df in models.items():
             try:
-                fn()
+                _write(df, f"{base}/{name}", batch_id)
                 status[name] = "ok"
             except Exception as e:  # noqa: BLE001 - one model must not stop the others
                 log.warning("model %s failed for batch %s: %s", name, batch_id, e)
@@ -59,10 +72,13 @@ def write_models(batch: DataFrame, batch_id: int, base: str,
     return status
 
 
-def fanout_stream(events: DataFrame, base: str, checkpoint: str, trusted_lookups: bool = False):
+def fanout_stream(events: DataFrame, base: str, checkpoint: str, trusted_lookups: bool = False,
+                  refresh: summaries.RefreshPolicy | None = None):
     """``writeStream`` that fans every micro-batch out to all models.  Parsed
     messages get their arrival ids here; lines that failed to parse are kept
-    under ``parse_dead_letters``."""
+    under ``parse_dead_letters``.  With a ``refresh`` policy the summaries are
+    rebuilt under ``base/summaries`` whenever enough rows have come in; call
+    ``refresh_summaries`` once more when the stream has ended."""
     from ..sources import messages
 
     def each(batch: DataFrame, batch_id: int):
@@ -73,11 +89,42 @@ def fanout_stream(events: DataFrame, base: str, checkpoint: str, trusted_lookups
         failed = {k: v for k, v in write_models(batch, batch_id, base, trusted_lookups).items() if v != "ok"}
         if failed:  # the batch is replayed; writes are keyed by its id
             raise RuntimeError(f"batch {batch_id}: models not written: {failed}")
+        if refresh is not None:
+            spark = batch.sparkSession
+            written = spark.read.parquet(f"{base}/fact_network_event/batch_id={batch_id}").count()
+            if refresh.add(written):
+                refresh_summaries(spark, base, batch_id)
     return events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
 
 
 def merged_edges(spark, base: str, name: str, keys: list[str]) -> DataFrame:
     """All batches of an edge set merged (count/bytes add, first/last min/max)."""
-    from ..operators.upsert import merge_edges
     parts = spark.read.parquet(f"{base}/{name}").drop("batch_id")
-    return merge_edges(parts.limit(0), parts, keys)
+    return upsert.merge_edges(parts.limit(0), parts, keys)
+
+
+def merged_first(spark, base: str, name: str) -> DataFrame:
+    """All batches of a dimension or vertex set: the first batch that has a key
+    decides its attributes (seeds are in every batch and win there)."""
+    parts, key = spark.read.parquet(f"{base}/{name}"), FIRST_WINS[name]
+    cols = [c for c in parts.columns if c != "batch_id"]
+    first = F.min_by(F.struct(*cols), "batch_id").alias("first")
+    return parts.groupBy(F.col(key).alias("_key")).agg(first).select("first.*")
+
+
+def merged_hourly_documents(spark, base: str) -> DataFrame:
+    """All batches of the hourly document summary merged."""
+    parts = spark.read.parquet(f"{base}/doc_hourly_summary").drop("batch_id")
+    return upsert.merge_hourly_documents(parts.limit(0), parts)
+
+
+def refresh_summaries(spark, base: str, refresh: int) -> dict[str, str]:
+    """Rebuild the six summaries from what all batches wrote.  A summary that
+    fails keeps its last refresh; it is logged and rebuilt the next time."""
+    t = {name: merged_first(spark, base, name) for name in FIRST_WINS if name.startswith("dim_")}
+    t["fact_network_event"] = spark.read.parquet(f"{base}/fact_network_event").drop("batch_id")
+    status = summaries.refresh_all(t, f"{base}/summaries", refresh)
+    for name, what in status.items():
+        if what != "ok":
+            log.warning("summary %s not refreshed at batch %s: %s", name, refresh, what)
+    return status

@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from flowlens.operators import upsert
+from flowlens.operators import star, summaries, upsert
 from flowlens.streaming import aggregates as A
 from flowlens.streaming import fanout
 
@@ -15,6 +15,10 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+def rows_text(df):
+    return sorted(str(tuple(r)) for r in df.collect())
+
+
 def test_fanout_all_models_and_replay(spark, tables, tmpdir_path):
     from flowlens.operators import clean
     from flowlens.sources import adapter
@@ -33,6 +37,15 @@ def test_fanout_all_models_and_replay(spark, tables, tmpdir_path):
     merged = fanout.merged_edges(spark, base, "e_attacked", ["src_ip", "dst_ip"])
     cols = ["src_ip", "dst_ip", "count", "total_bytes", "first_seen", "last_seen"]
     assert rows(merged.select(*cols)) == rows(tables["e_attacked"].select(*cols))
+    for name in fanout.FIRST_WINS:
+        got = fanout.merged_first(spark, base, name)
+        assert rows_text(got.select(*tables[name].columns)) == rows_text(tables[name]), name
+    hourly = fanout.merged_hourly_documents(spark, base)
+    assert rows_text(hourly.select(*tables["doc_hourly_summary"].columns)) == rows_text(tables["doc_hourly_summary"])
+    assert set(fanout.refresh_summaries(spark, base, 7).values()) == {"ok"}
+    for name in summaries.BUILDERS:
+        got = summaries.current_summary(spark, f"{base}/summaries", name)
+        assert rows_text(got.select(*tables[name].columns)) == rows_text(tables[name]), name
     # replay of batch 0: same directory is overwritten, nothing is duplicated
     batch = stream.sparkSession.read.parquet(SF_SMALL + "/events.parquet")
     again = clean.clean_flows(adapter.events_to_raw_flows(batch), ip_format="decimal")
@@ -54,6 +67,49 @@ def test_emit_changes_and_pull_query(spark, tables, tmpdir_path):
     assert rows(got.select(*cols)) == rows(want.select(*cols))
 
 
+def test_first_batch_decides_a_dimension(spark, tmpdir_path):
+    for batch, country in ((0, "A"), (1, "B")):
+        spark.createDataFrame([(1, country), (batch + 2, country)], "source_key bigint, country string") \
+            .write.parquet(f"{tmpdir_path}/dim_source/batch_id={batch}")
+    assert rows(fanout.merged_first(spark, tmpdir_path, "dim_source")) == [(1, "A"), (2, "A"), (3, "B")]
+
+
+def test_summaries_are_refreshed_in_the_stream(spark, tables, tmpdir_path):
+    tables["events"].write.parquet(f"{tmpdir_path}/in")
+    stream = spark.readStream.schema(tables["events"].schema).parquet(f"{tmpdir_path}/in")
+    fanout.fanout_stream(stream, f"{tmpdir_path}/wh", f"{tmpdir_path}/ck", refresh=summaries.RefreshPolicy(1)) \
+        .trigger(availableNow=True).start().awaitTermination()
+    got = summaries.current_summary(spark, f"{tmpdir_path}/wh/summaries", "summary_protocol_daily")
+    assert rows_text(got.select(*tables["summary_protocol_daily"].columns)) == rows_text(tables["summary_protocol_daily"])
+
+
+def test_endpoint_keys_are_exact(spark):
+    df = spark.createDataFrame([("0.0.0.0", 0), ("255.255.255.255", 65535), ("10.1.2.3", 443), ("1.2.3", 5),
+                                ("1.2.3.4", 65536), (None, 1), ("1.2.3.4", None)], "ip string, port int")
+    k = df.withColumn("k", star.endpoint_key("ip", "port"))
+    got = [tuple(r) for r in k.select("k", star.endpoint_ip("k"), star.endpoint_port("k")).where("k is not null").collect()]
+    assert got == [(0, "0.0.0.0", 0), ((2**32 - 1) * 65536 + 65535, "255.255.255.255", 65535),
+                   ((10 * 2**24 + 2**16 + 2 * 256 + 3) * 65536 + 443, "10.1.2.3", 443)]
+    assert k.where("k is null").count() == 4
+
+
+def test_top_sources_against_brute_force(spark, tables):
+    """A tie of labels goes to the smaller one; targets are end points."""
+    day, a, b = F.to_timestamp_ntz(F.lit("2024-01-02 03:04:05")), "10.0.0.1", "10.0.0.2"
+    say = [(1, a, 5, b, 80, "PortScan"), (2, a, 5, b, 80, "PortScan"), (3, a, 6, b, 81, "DoS Hulk"),
+           (4, a, 6, b, 82, "DoS Hulk"), (5, a, 7, b, 80, "BENIGN"), (6, b, 5, a, 80, "BENIGN")]
+    one = tables["events"].limit(1).drop("event_id", "source_ip", "source_port", "destination_ip", "destination_port",
+                                         "label", "attack_category", "source_country", "timestamp")
+    ev = spark.createDataFrame(say, "event_id bigint, source_ip string, source_port int, destination_ip string, "
+                                    "destination_port int, label string") \
+        .withColumn("attack_category", F.when(F.col("label") == "BENIGN", "Normal").otherwise("DoS")) \
+        .withColumn("source_country", F.lit("X")).withColumn("timestamp", day).crossJoin(one)
+    from flowlens.plans import model
+    got = model.tables_from_events(ev, validated=True)["summary_top_sources"].collect()
+    got = {r.source_ip: (r.attack_count, r.distinct_targets, r.primary_attack) for r in got}
+    assert got == {a: (4, 3, "DoS Hulk"), b: (0, 1, "BENIGN")}
+
+
 def test_replace_by_key_replaces(spark):
     stored = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     incoming = spark.createDataFrame([("b", 5), ("c", 7)], "k string, v int")
