@@ -286,13 +286,3 @@ def is_truncated_stamp(text) -> Column:
     """'MM:SS.S' style stamps: shorter than 12 characters and with a colon."""
     s = F.trim(_c(text).cast("string"))
     return (F.length(s) < 12) & s.contains(":")
-
-
-# ---------------------------------------------------------------- rounding
-
-def round_half_up(x, scale: int) -> Column:
-    return F.round(_c(x), scale)
-
-
-def round_half_even(x, scale: int) -> Column:
-    return F.bround(_c(x), scale)

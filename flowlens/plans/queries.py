@@ -535,54 +535,53 @@ def q8_g(t, limit: int = 20, start_threshold: int | None = None) -> DataFrame:
     starts at the largest possible overlap and is lowered until at least
     ``limit`` pairs reach it; the pairs with overlap >= k are then complete,
     so the top ``limit`` is exact.  Each round is one Spark job; the driver
-    only reads a count.
+    only reads a count, and the result is lazy.
     """
-    ipl = t["e_used_attack"].select("src_ip", "label").distinct()
-    # Addresses with the same label set differ only in their order: a pair
-    # using an address that is not among the ``limit + 1`` smallest of its
-    # label set has ``limit`` better pairs (same overlap, smaller addresses),
-    # so only those smallest addresses per distinct label set are kept.  The
-    # row-number filter runs as a partial WindowGroupLimit before the shuffle,
-    # so one label set shared by a third of all addresses costs no more.
-    sig = ipl.groupBy("src_ip").agg(F.array_sort(F.collect_set("label")).alias("sig"))
-    sw = Window.partitionBy("sig").orderBy("src_ip")
-    keep = (sig.withColumn("rn", F.row_number().over(sw)).filter(F.col("rn") <= limit + 1)
-            .select("src_ip"))
-    # reused by every round: one row per kept address and label
-    ipl = ipl.join(keep, "src_ip", "left_semi").persist()
-    freq = ipl.groupBy("label").agg(F.count(F.lit(1)).alias("f"))
-    lw = Window.partitionBy("src_ip").orderBy("f", "label")
-    ranked = (ipl.join(freq, "label")
-              .withColumn("pos", F.row_number().over(lw))
-              .withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("src_ip"))))
-    ranked = ranked.persist()
+    def label_sets() -> tuple[DataFrame, DataFrame]:
+        """Labels of the kept addresses, plain and ranked rarest first."""
+        ipl = t["e_used_attack"].select("src_ip", "label").distinct()
+        # Addresses with the same label set differ only in their order: a pair
+        # using an address that is not among the ``limit + 1`` smallest of its
+        # label set has ``limit`` better pairs (same overlap, smaller addresses),
+        # so only those smallest addresses per distinct label set are kept.  The
+        # row-number filter runs as a partial WindowGroupLimit before the shuffle,
+        # so one label set shared by a third of all addresses costs no more.
+        sig = ipl.groupBy("src_ip").agg(F.array_sort(F.collect_set("label")).alias("sig"))
+        sw = Window.partitionBy("sig").orderBy("src_ip")
+        keep = (sig.withColumn("rn", F.row_number().over(sw)).filter(F.col("rn") <= limit + 1)
+                .select("src_ip"))
+        ipl = ipl.join(keep, "src_ip", "left_semi")
+        return ipl, _ranked_labels(ipl)
+
+    # the rounds that settle the threshold share cached label sets
+    ipl, ranked = (df.persist() for df in label_sets())
     if start_threshold is None:
         sizes = ranked.select("src_ip", "size").distinct()
         # the largest overlap a pair can have is the second largest set size
         top2 = sizes.orderBy(F.desc("size")).limit(2).agg(F.min("size")).first()[0]
         start_threshold = int(top2 or 1)
     k = max(int(start_threshold), 1)
-    v = t["v_source_ip"].select("ip", "country")
-    while True:
-        # one job per round: the top ``limit`` among pairs with overlap >= k;
-        # if fewer than ``limit`` pairs reach k, lower it and repeat
-        pairs = _pairs_with_overlap(ranked, ipl, k)
-        out = (pairs.join(v.select(F.col("ip").alias("ip1"), F.col("country").alias("country1")), "ip1")
-               .join(v.select(F.col("ip").alias("ip2"), F.col("country").alias("country2")), "ip2")
-               .select("ip1", "country1", "ip2", "country2", "shared_attacks", "shared_count"))
-        res = C.top(out, limit, F.desc("shared_count"), "ip1", "ip2")
-        rows = res.collect()
-        if k == 1 or len(rows) >= limit:
-            break
+    while k > 1 and _pairs_with_overlap(ranked, ipl, k).limit(limit).count() < limit:
         k -= 1
     for cached in (ranked, ipl):
         cached.unpersist()
-    spark = res.sparkSession
-    if not rows:
-        return spark.createDataFrame([], res.schema)
-    f = res.schema.fields
-    return S.literal_table(spark, [tuple(r) for r in rows], [x.name for x in f],
-                           [x.dataType.simpleString() for x in f])
+    # the answer itself is a lazy frame over the stored edges
+    ipl, ranked = label_sets()
+    pairs = _pairs_with_overlap(ranked, ipl, k)
+    v = t["v_source_ip"].select("ip", "country")
+    out = (pairs.join(v.select(F.col("ip").alias("ip1"), F.col("country").alias("country1")), "ip1")
+           .join(v.select(F.col("ip").alias("ip2"), F.col("country").alias("country2")), "ip2")
+           .select("ip1", "country1", "ip2", "country2", "shared_attacks", "shared_count"))
+    return C.top(out, limit, F.desc("shared_count"), "ip1", "ip2")
+
+
+def _ranked_labels(ipl: DataFrame) -> DataFrame:
+    """Each address's labels with their place, rarest first, and their number."""
+    freq = ipl.groupBy("label").agg(F.count(F.lit(1)).alias("f"))
+    lw = Window.partitionBy("src_ip").orderBy("f", "label")
+    return (ipl.join(freq, "label")
+            .withColumn("pos", F.row_number().over(lw))
+            .withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("src_ip"))))
 
 
 def _pairs_with_overlap(ranked: DataFrame, ipl: DataFrame, k: int) -> DataFrame:
@@ -610,9 +609,4 @@ def e_connected_to(t, min_shared: int) -> DataFrame:
     definition; the top-k question is :func:`q8_g`.
     """
     ipl = t["e_used_attack"].select("src_ip", "label").distinct()
-    freq = ipl.groupBy("label").agg(F.count(F.lit(1)).alias("f"))
-    lw = Window.partitionBy("src_ip").orderBy("f", "label")
-    ranked = (ipl.join(freq, "label")
-              .withColumn("pos", F.row_number().over(lw))
-              .withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("src_ip"))))
-    return _pairs_with_overlap(ranked, ipl, max(int(min_shared), 1))
+    return _pairs_with_overlap(_ranked_labels(ipl), ipl, max(int(min_shared), 1))
