@@ -114,6 +114,33 @@ def test_sentences_cover_text():
         assert ends == sorted(ends) and (not ends or ends[-1] == len(t))
 
 
+def test_span_in_every_run_of_51_words():
+    rng = random.Random(11)
+    for k in range(600):
+        vocabulary = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(rng.choice([2, 6, 400]))]
+        words = lambda n: [rng.choice(vocabulary) + rng.choice([""] * 9 + marks) for _ in range(n)]
+        marks = rng.choice([[""], [",", ".", "; ", "\n"]])
+        run = " ".join(words(51))
+        heads, tails = ([" ".join(words(rng.randint(0, 40))) for _ in range(2)] for _ in range(2))
+        a, b = ({x[2] for x in span_dedup.text_spans(f"{h} {run} {t}") if x[0] >= len(h) and x[1] <= len(h) + len(run) + 2}
+                for h, t in zip(heads, tails))
+        assert a & b, (heads, run, tails)
+
+
+def test_passage_within_sentences_is_removed(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choices("abcdefgh", k=8))
+    rows = []
+    for k in range(40):
+        passage = " ".join(word() for _ in range(51 + k % 20))
+        rows += [(2 * k + j, " ".join(word() for _ in range(rng.randint(1, 30))) + f" {passage} " + " ".join(word() for _ in range(rng.randint(1, 30))))
+                 for j in range(2)]
+    got = {r.doc_id: r for r in span_dedup.deduplicate(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    for i, text in rows:
+        assert got[i].n_removed == i % 2 and (got[i].text == text) == (i % 2 == 0)
+        assert i % 2 == 0 or len(got[i].text) == len(text) - got[i].removed_chars <= len(text) - 24 * 9
+
+
 def test_toxicity(spark):
     rng = random.Random(3)
     rows = []
