@@ -1,6 +1,10 @@
 """Substring deduplication by sliding spans of consecutive sentence parts.
 
-A part ends at . ! ? … , ; : | or a line end.  Where WINDOW words in a row have
+A part ends at . ! ? … , ; : | (or their ideographic, Khmer and Burmese kin) or a
+line end.  Chinese, Japanese, Thai, Lao, Khmer and Burmese are written without
+spaces, so there each character stands as a word that counts for less (two make a
+word of the first two, four of the others); any other run between white space
+and marks is one word, however long.  Where WINDOW words in a row have
 no such end, a part ends after the one with the least checksum (the last of
 equal ones), so every part has WINDOW words at most, and whether it ends after a
 word depends on the WINDOW - 1 words on either side alone, not on how the
@@ -40,8 +44,12 @@ from pyspark.sql import functions as F
 from .common import stored, table
 
 WORDS, WINDOW = 24, 10
-_TOKEN = re.compile(r"[^\s.!?…,;:|]+[.!?…,;:|]*\s*|[.!?…,;:|]+\s*|\s+")
-_MARKS = frozenset(".!?…,;:|")
+MARKS = ".!?…,;:|。｡．！？，、､；：｜។៕၊။"
+#: Letters of scripts without spaces, by how many make a word.
+TWO = "\u3005-\u3007\u3031-\u3035\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff"
+FOUR = "\u0e00-\u0eff\u1000-\u1049\u104c-\u109f\u1780-\u17d3\u17d6-\u17ff"
+_TOKEN = re.compile(rf"[^\s{MARKS}{TWO}{FOUR}]+[{MARKS}]*\s*|[{TWO}{FOUR}][{MARKS}]*\s*|[{MARKS}]+\s*|\s+")
+_MARKS, _TWO, _FOUR = frozenset(MARKS), re.compile(f"[{TWO}]"), re.compile(f"[{FOUR}]")
 LAST_ID = 2**63 - 1
 
 
@@ -84,12 +92,18 @@ def _cuts(words: list[str], start: int, stop: int) -> list[int]:
     return out
 
 
+def _quarters(words: list[str]) -> int:
+    """What the words count for, in quarters of a word."""
+    text = "".join(words)
+    return 4 * len(words) - (0 if text.isascii() else 2 * len(_TWO.findall(text)) + 3 * len(_FOUR.findall(text)))
+
+
 def _runs(parts: list[tuple[int, list[str]]]) -> Iterator[tuple[int, int]]:
     """First part and end of the span from each part on."""
-    before = [0, *accumulate(len(words) for _, words in parts)]
+    before = [0, *accumulate(_quarters(words) for _, words in parts)]
     j = 0
     for i in range(len(parts)):
-        while j <= len(parts) and before[j] - before[i] < WORDS:
+        while j <= len(parts) and before[j] - before[i] < 4 * WORDS:
             j += 1
         if j > len(parts):
             return

@@ -141,6 +141,19 @@ def test_passage_within_sentences_is_removed(spark):
         assert i % 2 == 0 or len(got[i].text) == len(text) - got[i].removed_chars <= len(text) - 24 * 9
 
 
+@pytest.mark.parametrize("letters, n, end", [((0x4E00, 0x9FFF), 102, "。"), ((0x3041, 0x3096), 102, "、"), ((0x0E01, 0x0E2E), 204, "")])
+def test_passage_without_spaces_is_removed(spark, letters, n, end):
+    rng = random.Random(13)
+    run = lambda k: "".join(chr(rng.randint(*letters)) + (end if rng.random() < 0.05 else "") for _ in range(k))
+    rows = []
+    for k in range(10):
+        passage = run(n)
+        rows += [(2 * k + j, run(rng.randint(1, 60)) + passage + run(rng.randint(1, 60))) for j in range(2)]
+    rows += [(100 + k, run(60) + rows[0][1][60:60 + n // 6] + run(60)) for k in range(2)]
+    got = {r.doc_id: r for r in span_dedup.deduplicate(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(got[i].n_removed == (i < 100 and i % 2) for i, _ in rows)
+
+
 def test_toxicity(spark):
     rng = random.Random(3)
     rows = []
