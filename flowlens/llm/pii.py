@@ -11,7 +11,10 @@ All of it is SQL expressions.
 
 The patterns are the plain ones made possessive and anchored at the start of a
 run (or the end of the match before, \G), which finds the same matches without
-backtracking over long runs.
+backtracking over long runs.  An account number ends at its country's length, so
+what follows in capitals or digits is not taken with it; only for countries not
+in IBAN, and where another letter or digit follows at once, any length is tried,
+the longest alone.
 """
 
 from __future__ import annotations
@@ -24,12 +27,18 @@ from .common import stored, table, unused
 MARK = "\x01"
 BASE = ("email", "ip", "card", "phone")
 KINDS = BASE + ("iban", "ssn")
+#: Countries by the length of their account numbers.
+IBAN = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+        26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+        30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+_OF_LENGTH = "|".join(rf"(?:{c.replace(' ', '|')})[0-9]{{2}}(?:\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN.items())
 PATTERN = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[\x20-]?+[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])",
+    "iban": rf"(?<![A-Za-z0-9])(?:{_OF_LENGTH}|[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]){{11,30}})(?![A-Za-z0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 #: A text without such a place has no valid match of the kind.

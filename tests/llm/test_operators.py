@@ -207,6 +207,16 @@ def test_pii(docs, none):
     assert pii.find(none).count() == 0
 
 
+def test_iban_ends_where_the_number_does(spark):
+    numbers = ["DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", "NO93 8601 1117 947",
+               "FR14 2004 1010 0505 0001 3M02 606", "MT84 MALT 0110 0001 2345 MTLC AST0 01S", "BE68 5390 0754 7034"]
+    rows = [(i, f"IBAN {n}{tail}") for i, (n, tail) in enumerate((n, t) for n in numbers for t in ("", " BIC COBADEFF", " 12 May", " " + numbers[0], "."))]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = {i: [f"iban:{m.start()}:{m.end()}" for m in re.finditer("|".join(numbers), t)] for i, t in rows}
+    assert {r.doc_id: [s for s in r.spans.split(",") if s.startswith("iban")] for r in pii.find(docs).collect()} == want
+    assert {r.doc_id: r.text for r in pii.redact(docs).collect() if r.doc_id == 1} == {1: "IBAN [iban] BIC COBADEFF"}
+
+
 def test_redact(docs):
     got = {(r.doc_id, r.text) for r in pii.redact(docs).collect()}
     for i, t in rows_of(docs):
