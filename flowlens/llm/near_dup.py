@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, stored, table
+from .common import components, stored, table, unused
 
 WORDS = 5
 SAMPLES, ROWS = 128, 4
@@ -52,7 +52,7 @@ _MUL = _RNG.integers(1, 2**63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uin
 _ADD = _RNG.integers(0, 2**63, SAMPLES, dtype=np.uint64)
 _STEP = _RNG.integers(1, 2**63, WORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
-SIGNATURE = "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>, sketch array<bigint>"
+SIGNATURE = "doc_id bigint, version bigint, n_shingles bigint, set_key binary, bands array<bigint>, sketch array<bigint>"
 
 
 def most_differing_bits(estimate: float = LEAST_ESTIMATE) -> int:
@@ -108,9 +108,9 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bands.append(band)
             sketches.append(sketch)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
+            [batch.column("doc_id"), batch.column("version"), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
              pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))],
-            names=["doc_id", "n_shingles", "set_key", "bands", "sketch"])
+            names=["doc_id", "version", "n_shingles", "set_key", "bands", "sketch"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,16 +260,15 @@ def _crossing_links(classes: DataFrame, labels: DataFrame, docs: DataFrame) -> D
     return whole.repartition("cell").sortWithinPartitions(*order).mapInArrow(_linked, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles,
-    component_id, kept.
+def _version(text):
+    """Tells texts of one doc_id apart."""
+    return F.xxhash64(text.cast("binary"))
 
-    Empty and null texts have no shingles and are linked with nothing.  Rows
-    that repeat a doc_id with another text are judged by their own text.  A row
-    without doc_id is in no component (component_id null) and is kept.  An
-    empty table gives an empty result; other columns of ``docs`` are not read.
-    """
-    signed = stored(_texts(docs).mapInArrow(_signatures, SIGNATURE), "near-signatures")
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """The rows of ``near_duplicates`` with the text's version and the label of
+    its component (null without shingles or doc_id)."""
+    signed = stored(_texts(docs).withColumn("version", _version(F.col("text"))).mapInArrow(_signatures, SIGNATURE), "near-signatures")
     linked = signed.where("n_shingles > 0 and doc_id is not null")
     classes = stored(linked.groupBy("set_key").agg(
         F.min(F.struct("doc_id", "n_shingles", "bands", "sketch")).alias("s"))
@@ -284,18 +283,37 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     of_class = classes.select("set_key", "rep").join(merged.withColumnRenamed("node", "set_key"), "set_key", "left") \
         .withColumn("label", F.coalesce("label", "set_key"))
     least = of_class.groupBy("label").agg(F.min("rep").alias("component_id"))
-    of_class = of_class.join(least, "label").select("set_key", "component_id")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return (signed.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
-            .select("doc_id", "n_shingles", component.alias("component_id"))
+    of_class = of_class.join(least, "label").select("set_key", "label", "component_id")
+    named = F.col("doc_id").isNotNull()
+    return (signed.select("doc_id", "version", "n_shingles", "set_key").join(of_class, "set_key", "left")
+            .select("doc_id", "version", "n_shingles", F.when(named, F.col("label")).alias("label"),
+                    F.when(named, F.coalesce("component_id", "doc_id")).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles,
+    component_id, kept.
+
+    Empty and null texts have no shingles and are linked with nothing.  Rows
+    that repeat a doc_id with another text are judged by their own text.  A row
+    without doc_id is in no component (component_id null) and is kept.  An
+    empty table gives an empty result; other columns of ``docs`` are not read.
+    """
+    return _judged(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
     """``docs`` with one document of each group left, the one with the smallest
-    doc_id (one of its rows, if they repeat).  Rows without doc_id stay."""
-    kept = near_duplicates(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    doc_id (of its rows in the group, if they repeat, the one with the least
+    hash of the text, once).  Rows that share a doc_id but are in different
+    groups are told apart by their text, and each group keeps its own; of the
+    rows of a doc_id without shingles one stays.  Rows without doc_id stay."""
+    kept = _judged(docs).where("kept and doc_id is not null").groupBy("doc_id", "label").agg(F.min("version").alias("version"))
+    doc, version = unused(docs, "near_doc"), unused(docs, "near_version")
+    own = docs.where("doc_id is not null").withColumn(doc, F.col("doc_id").cast("bigint")).withColumn(version, _version(F.col("text")))
+    kept = kept.select(F.col("doc_id").alias(doc), F.col("version").alias(version)).distinct()
+    named = own.join(kept, [doc, version], "left_semi").dropDuplicates([doc, version])
     return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
 
 

@@ -286,6 +286,20 @@ def test_near_duplicates(docs, none):
     assert near_dup.near_duplicates(none).count() == 0
 
 
+def test_rows_of_one_doc_id_are_kept_by_text(spark):
+    rng = random.Random(14)
+    a, b, c, d = (prose(rng, 80) for _ in range(4))
+    near = lambda t: t + " end"
+    # 5: two unrelated texts and one row twice; 7: a near copy of 1 and a text of its own; 8: two near copies; 9: no text
+    rows = [(1, a), (5, b), (5, c), (5, c), (7, near(a)), (7, d), (8, "x " + d[::-1]), (8, near("x " + d[::-1])), (9, ""), (9, c[::-1]), (None, a)]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id bigint, text string, source string")
+    left = near_dup.deduplicate(docs)
+    got = collections.Counter(rows_of(left))
+    eight = [t for i, t in got if i == 8]
+    assert left.columns == docs.columns and len(eight) == 1 and (8, eight[0]) in rows
+    assert got == collections.Counter([(1, a), (5, b), (5, c), (7, d), (8, eight[0]), (9, ""), (9, c[::-1]), (None, a)])
+
+
 def test_large_group_of_near_copies(spark, monkeypatch):
     """Copies linked with each other only in part, over several blocks."""
     monkeypatch.setattr(near_dup, "BLOCK", 16)
