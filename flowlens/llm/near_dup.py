@@ -8,8 +8,10 @@ Documents whose sets have a Jaccard similarity of 0.75 or more are linked.
    its set, 32 band keys of 4 MinHash values each (a pair at 0.75 shares none
    with probability 5e-6), and an odd sketch: the 128 samples folded into a
    512-bit parity bitmap.
-2. Documents with the same digest are one class; from here on only classes
-   count, so thousands of copies cost one row.
+2. Documents with the same digest are one class, numbered when it is written;
+   from here on only classes count, so thousands of copies cost one row.  Band
+   keys that two or more classes share are written once, as (key, band, number);
+   all later steps read those rows.
 3. In every band's bucket the member with the most neighbours over all bands is
    paired with the others (a star, linear in the bucket); a text that many
    copies were made from is such a member.  Pairs whose sketches differ in too
@@ -135,41 +137,46 @@ def _size_allows(a: str, b: str):
 
 
 def _full_sets(needed: DataFrame, classes: DataFrame, docs: DataFrame, name: str) -> DataFrame:
-    """set_key and shingles of the ``needed`` set_keys; only their texts are
+    """num and shingles of the ``needed`` classes; only their texts are
     shingled again."""
-    reps = classes.join(needed, "set_key", "left_semi").select("rep").distinct()
-    texts = _texts(docs).join(reps.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi")
+    wanted = stored(classes.join(needed, "num", "left_semi").select("num", "set_key", "rep"), f"{name}-wanted")
+    texts = _texts(docs).join(wanted.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = texts.select("text").mapInArrow(_sets, "set_key binary, shingles array<bigint>")
-    return stored(sets.join(needed, "set_key", "left_semi").dropDuplicates(["set_key"]), f"{name}-sets")
+    return stored(sets.join(wanted.select("num", "set_key"), "set_key").select("num", "shingles").dropDuplicates(["num"]), f"{name}-sets")
 
 
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, name: str) -> DataFrame:
     """The (a, b) of ``pairs`` whose full sets reach the similarity."""
     pairs = stored(pairs, f"{name}-pairs")
-    needed = pairs.select(F.col("a").alias("set_key")).unionByName(pairs.select(F.col("b").alias("set_key"))).distinct()
+    needed = pairs.select(F.col("a").alias("num")).unionByName(pairs.select(F.col("b").alias("num"))).distinct()
     sets = _full_sets(needed, classes, docs, name)
-    one = sets.select(F.col("set_key").alias("a"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("set_key").alias("b"), F.col("shingles").alias("sb"))
+    one = sets.select(F.col("num").alias("a"), F.col("shingles").alias("sa"))
+    two = sets.select(F.col("num").alias("b"), F.col("shingles").alias("sb"))
     shared = F.size(F.array_intersect("sa", "sb"))
     return (pairs.join(one, "a").join(two, "b")
             .where(shared * 100 >= (F.size("sa") + F.size("sb") - shared) * PERCENT).select("a", "b"))
 
 
-def _star_pairs(classes: DataFrame) -> DataFrame:
-    rows = classes.select("set_key", F.explode("bands").alias("key"))
-    crowded = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
-    rows = stored(rows.join(crowded, "key"), "near-buckets")
-    degree = rows.groupBy("set_key").agg(F.sum(F.col("m") - 1).alias("degree"))
-    rows = rows.join(degree, "set_key").select("key", "set_key", "degree")
-    pivots = rows.groupBy("key").agg(F.max(F.struct("degree", "set_key"))["set_key"].alias("pivot"))
-    pairs = (rows.join(pivots, "key").where("set_key <> pivot")
-             .select(F.least("set_key", "pivot").alias("a"), F.greatest("set_key", "pivot").alias("b")).distinct())
-    side = classes.select("set_key", "n_shingles", "sketch")
+def _buckets(classes: DataFrame) -> DataFrame:
+    """key, band, num, m: the classes in each band's buckets of two or more.
+    All that follows works on these rows; most classes are in none."""
+    rows = classes.select("num", F.posexplode("bands").alias("band", "key"))
+    crowded = rows.groupBy("key").agg(F.count(F.lit(1)).cast("int").alias("m")).where("m > 1")
+    return stored(rows.select("key", F.col("band").cast("tinyint").alias("band"), "num").join(crowded, "key"), "near-buckets")
+
+
+def _star_pairs(classes: DataFrame, buckets: DataFrame) -> DataFrame:
+    degree = buckets.groupBy("num").agg(F.sum(F.col("m") - 1).alias("degree"))
+    rows = buckets.select("key", "num").join(degree, "num")
+    pivots = rows.groupBy("key").agg(F.max(F.struct("degree", "num"))["num"].alias("pivot"))
+    pairs = (buckets.select("key", "num").join(pivots, "key").where("num <> pivot")
+             .select(F.least("num", "pivot").alias("a"), F.greatest("num", "pivot").alias("b")).distinct())
+    side = classes.select("num", "n_shingles", "sketch")
     return (pairs.join(side.toDF("a", "na", "ka"), "a").join(side.toDF("b", "nb", "kb"), "b")
             .where(_size_allows("na", "nb") & _close_sketches("ka", "kb")).select("a", "b"))
 
 
-CELL = "cell bigint, band int, two boolean, blk int, set_key binary, label binary, n_shingles bigint, sketch array<bigint>, bands array<bigint>"
+CELL = "cell bigint, band tinyint, two boolean, blk int, num bigint, label bigint, n_shingles bigint, sketch array<bigint>, bands array<bigint>"
 
 
 def _whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -191,7 +198,7 @@ def _possible(cell: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(a, b, differing bits) of a cell's pairs that may be links and that no
     earlier band sees, a < b."""
     n, blk, band = (cell.column(c).to_numpy() for c in ("n_shingles", "blk", "band"))
-    label = np.unique(np.array(cell.column("label").to_pylist(), object), return_inverse=True)[1]
+    label = cell.column("label").to_numpy()
     sketch = np.array(cell.column("sketch").to_pylist(), np.int64).view(np.uint64)
     bands = np.array(cell.column("bands").to_pylist(), np.int64)
     t, two, found = int(band[0]), cell.column("two")[0].as_py(), []
@@ -224,8 +231,8 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if len(cell) < 2:
             continue
         a, b, bits = _possible(cell)
-        keys, sets = cell.column("set_key").to_pylist(), [x.values.to_numpy() for x in cell.column("shingles")]
-        label = np.unique(np.array(cell.column("label").to_pylist(), object), return_inverse=True)[1]
+        nums, sets = cell.column("num").to_pylist(), [x.values.to_numpy() for x in cell.column("shingles")]
+        label = cell.column("label").to_numpy().copy()
         edges = []
         for k in bits.argsort(kind="stable").tolist():
             i, j = a[k], b[k]
@@ -233,31 +240,30 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
             if shared * 100 >= (len(sets[i]) + len(sets[j]) - shared) * PERCENT:
-                edges.append((keys[i], keys[j]))
+                edges.append((nums[i], nums[j]))
                 label[label == label[j]] = label[i]
-        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in edges], pa.binary()), pa.array([y for _, y in edges], pa.binary())],
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in edges], pa.int64()), pa.array([y for _, y in edges], pa.int64())],
                                          names=["a", "b"])
 
 
-def _crossing_links(classes: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
+def _crossing_links(classes: DataFrame, buckets: DataFrame, labels: DataFrame, docs: DataFrame) -> DataFrame:
     """Confirmed links between classes of different components, as a forest in
     each cell."""
-    known = classes.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left") \
-        .withColumn("label", F.coalesce("label", "set_key"))
-    rows = known.select("set_key", "label", F.posexplode("bands").alias("band", "key"))
+    rows = buckets.select("key", "band", "num").join(labels.withColumnRenamed("node", "num"), "num", "left") \
+        .withColumn("label", F.coalesce("label", "num"))
     mixed = (rows.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("m"))
              .where("lo <> hi").select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("nb")))
-    rows = rows.join(mixed, "key").withColumn("blk", F.pmod(F.xxhash64("set_key"), F.col("nb")).cast("int"))
+    rows = rows.join(mixed, "key").withColumn("blk", F.pmod(F.xxhash64("num"), F.col("nb")).cast("int"))
     rows = rows.withColumn("pair", F.explode(F.expr(
         "transform(sequence(0, nb - 1), j -> struct(least(j, blk) as lo, greatest(j, blk) as hi))")))
     rows = rows.select(F.xxhash64("key", "pair").alias("cell"), "band", (F.col("pair.lo") != F.col("pair.hi")).alias("two"),
-                       "blk", "set_key", "label").join(classes.select("set_key", "n_shingles", "sketch", "bands"), "set_key")
-    rows = rows.select("cell", "band", "two", "blk", "set_key", "label", "n_shingles", "sketch", "bands")
-    order = ("cell", "blk", "set_key")
+                       "blk", "num", "label").join(classes.select("num", "n_shingles", "sketch", "bands"), "num")
+    rows = rows.select("cell", "band", "two", "blk", "num", "label", "n_shingles", "sketch", "bands")
+    order = ("cell", "blk", "num")
     partners = stored(rows.repartition("cell").sortWithinPartitions(*order).mapInArrow(_with_partners, CELL), "near-partners")
-    needed = partners.select("set_key").distinct()
-    whole = partners.join(_full_sets(needed, classes, docs, "near-cross"), "set_key")
-    return whole.repartition("cell").sortWithinPartitions(*order).mapInArrow(_linked, "a binary, b binary")
+    needed = partners.select("num").distinct()
+    whole = partners.join(_full_sets(needed, classes, docs, "near-cross"), "num")
+    return whole.repartition("cell").sortWithinPartitions(*order).mapInArrow(_linked, "a bigint, b bigint")
 
 
 def _version(text):
@@ -272,16 +278,17 @@ def _judged(docs: DataFrame) -> DataFrame:
     linked = signed.where("n_shingles > 0 and doc_id is not null")
     classes = stored(linked.groupBy("set_key").agg(
         F.min(F.struct("doc_id", "n_shingles", "bands", "sketch")).alias("s"))
-        .select("set_key", F.col("s.doc_id").alias("rep"), "s.n_shingles", "s.bands", "s.sketch"), "near-classes")
+        .select(F.monotonically_increasing_id().alias("num"), "set_key", F.col("s.doc_id").alias("rep"), "s.n_shingles", "s.bands", "s.sketch"), "near-classes")
+    buckets = _buckets(classes)
 
-    edges = stored(_confirmed(_star_pairs(classes), classes, docs, "near-star"), "near-star-edges")
+    edges = stored(_confirmed(_star_pairs(classes, buckets), classes, docs, "near-star"), "near-star-edges")
     labels = components(edges, "near-star")
-    crossing = _crossing_links(classes, labels, docs)
+    crossing = _crossing_links(classes, buckets, labels, docs)
     merged = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
                         .unionByName(crossing.select("a", "b")), "near")
 
-    of_class = classes.select("set_key", "rep").join(merged.withColumnRenamed("node", "set_key"), "set_key", "left") \
-        .withColumn("label", F.coalesce("label", "set_key"))
+    of_class = classes.select("num", "set_key", "rep").join(merged.withColumnRenamed("node", "num"), "num", "left") \
+        .withColumn("label", F.coalesce("label", "num"))
     least = of_class.groupBy("label").agg(F.min("rep").alias("component_id"))
     of_class = of_class.join(least, "label").select("set_key", "label", "component_id")
     named = F.col("doc_id").isNotNull()
