@@ -99,3 +99,53 @@ def e_used_protocol(g: DataFrame) -> DataFrame:
 
 def e_active_in(g: DataFrame) -> DataFrame:
     return g.groupBy("label", "hour_bucket").agg(F.count(F.lit(1)).alias("event_count"))
+
+
+# ------------------------------------------- CONNECTED_TO, in factored form
+#
+# Two sources are connected if they share a label, whatever their events: the
+# relation depends on their label sets alone.  So it is kept as the distinct
+# label sets, the overlap of each two of them, and which sources have which
+# set.  Label sets come from a catalogue of a few dozen labels and don't grow
+# with the sources; the address pairs, quadratic in the sources of a label, are
+# never made unless a caller expands them (``expand_connected``).
+
+def e_has_label_set(used: DataFrame) -> DataFrame:
+    """Membership: the label set of each source, as its sorted labels in one text."""
+    return (used.groupBy("src_ip").agg(F.array_sort(F.collect_set("label")).alias("labels"))
+            .select("src_ip", F.array_join("labels", "|").alias("label_set"), "labels"))
+
+
+def v_label_set(members: DataFrame) -> DataFrame:
+    """The distinct label sets with their number of sources."""
+    return (members.groupBy("label_set").agg(F.first("labels").alias("labels"), F.count(F.lit(1)).alias("n_sources"))
+            .select("label_set", "labels", F.size("labels").alias("n_labels"), "n_sources"))
+
+
+def e_connected_to(label_sets: DataFrame) -> DataFrame:
+    """Overlap of each two label sets (``set_a <= set_b``) that share a label:
+    the shared labels and the number of address pairs connected by them.
+
+    Sets meet by label; of the labels that two share only the first one makes
+    their row, so no pair has to be deduplicated.
+    """
+    rows = label_sets.select("label_set", "labels", "n_sources", F.explode("labels").alias("label"))
+    a, b = rows.alias("a"), rows.alias("b")
+    shared = F.array_intersect("a.labels", "b.labels")
+    same = F.col("a.label_set") == F.col("b.label_set")
+    one, two = F.col("a.n_sources").cast("decimal(19,0)"), F.col("b.n_sources").cast("decimal(19,0)")
+    return (a.join(b, (F.col("a.label") == F.col("b.label")) & (F.col("a.label_set") <= F.col("b.label_set")))
+            .filter(shared[0] == F.col("a.label"))
+            .select(F.col("a.label_set").alias("set_a"), F.col("b.label_set").alias("set_b"), shared.alias("shared_attacks"),
+                    F.size(shared).cast("bigint").alias("shared_count"),
+                    F.when(same, one * (one - 1) / 2).otherwise(one * two).cast("decimal(38,0)").alias("n_pairs"))
+            .filter("n_pairs > 0"))
+
+
+def expand_connected(overlaps: DataFrame, members: DataFrame) -> DataFrame:
+    """Address pairs (ip1 < ip2) of the given overlaps: as many rows as their
+    ``n_pairs`` add up to, so filter the overlaps first."""
+    a = members.select(F.col("src_ip").alias("x"), F.col("label_set").alias("set_a"))
+    b = members.select(F.col("src_ip").alias("y"), F.col("label_set").alias("set_b"))
+    return (overlaps.join(a, "set_a").join(b, "set_b").filter((F.col("set_a") != F.col("set_b")) | (F.col("x") < F.col("y")))
+            .select(F.least("x", "y").alias("ip1"), F.greatest("x", "y").alias("ip2"), "shared_attacks", "shared_count"))

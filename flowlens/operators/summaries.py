@@ -8,7 +8,7 @@ smart time key, so no summary joins ``dim_time``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lookups as L
@@ -55,7 +55,7 @@ def summary_attack_hourly(t: dict[str, DataFrame]) -> DataFrame:
            .agg(F.count(F.lit(1)).alias("event_count"),
                 F.sum(total_bytes()).alias("total_bytes"),
                 F.round(avg_ms(), 2).cast("decimal(12,2)").alias("avg_duration_ms"),
-                F.count_distinct("source_key").cast("int").alias("unique_sources")))
+                F.count_distinct("source_key").alias("unique_sources")))
     da = t["dim_attack"].select("attack_key", "attack_category", "attack_label")
     return agg.join(da, "attack_key").select(
         "hour_bucket", "attack_category", "attack_label", "event_count", "total_bytes",
@@ -94,13 +94,16 @@ def summary_top_sources(t: dict[str, DataFrame], severity_order: str = "text") -
         F.count_if(~F.col("by_label")).alias("distinct_targets"),
         F.min_by("attack_label", most).alias("primary_attack"),
         max_sev.alias("max_severity"))
+    return with_threat_score(g, "day_bucket")
+
+
+def with_threat_score(g: DataFrame, day: str) -> DataFrame:
+    """Threat score of a source's day: attacks times targets times the weight
+    of its severity, by its events."""
     score = _exact(F.col("attack_count").cast("decimal(20,0)") * F.col("distinct_targets")
                    * severity_weight(F.col("max_severity")), F.col("n"))
     return g.select(
-        "day_bucket", "source_ip", "country",
-        F.col("attack_count").cast("int").alias("attack_count"),
-        F.col("distinct_targets").cast("int").alias("distinct_targets"),
-        "primary_attack",
+        day, "source_ip", "country", "attack_count", "distinct_targets", "primary_attack",
         F.round(score, 2).cast("decimal(12,2)").alias("threat_score"))
 
 
@@ -124,7 +127,7 @@ def summary_severity_daily(t: dict[str, DataFrame]) -> DataFrame:
             .join(da, "attack_key")
             .groupBy("day_bucket", "severity")
             .agg(F.count(F.lit(1)).alias("event_count"),
-                 F.count_distinct("source_key").cast("int").alias("unique_sources")))
+                 F.count_distinct("source_key").alias("unique_sources")))
 
 
 def summary_dest_port_daily(t: dict[str, DataFrame]) -> DataFrame:
@@ -145,6 +148,10 @@ def summary_weekend_weekday(t: dict[str, DataFrame]) -> DataFrame:
     da = t["dim_attack"].select("attack_key", "attack_category")
     g = (agg.join(da, "attack_key").groupBy("is_weekend", "attack_category")
          .agg(F.sum("n").alias("total_events"), F.sum("a").alias("attack_events")))
+    return with_attack_rate(g)
+
+
+def with_attack_rate(g: DataFrame) -> DataFrame:
     rate = _exact(F.col("attack_events") * 100, F.col("total_events"))
     return g.select("is_weekend", "attack_category", "total_events", "attack_events",
                     F.round(rate, 2).cast("decimal(5,2)").alias("attack_rate_pct"))
@@ -160,28 +167,6 @@ BUILDERS = {
 }
 
 
-def refresh_all(t: dict[str, DataFrame], path: str, refresh: int) -> dict[str, str]:
-    """Rebuild all six summaries, each under ``path/<name>/refresh=<refresh>``:
-    what earlier refreshes wrote stays in place, so a failure leaves the last
-    complete one.  One failing summary does not stop the others.  ``refresh``
-    has to rise (a batch id does).  Returns {summary: 'ok' | error text}."""
-    status = {}
-    for name, build in BUILDERS.items():
-        try:
-            build(t).write.mode("overwrite").parquet(f"{path}/{name}/refresh={refresh}")
-            status[name] = "ok"
-        except Exception as e:  # noqa: BLE001
-            status[name] = str(e)
-    return status
-
-
-def current_summary(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """A summary as its latest refresh left it."""
-    every = spark.read.parquet(f"{path}/{name}")
-    latest = every.agg(F.max("refresh")).first()[0]
-    return every.filter(F.col("refresh") == F.lit(latest)).drop("refresh")
-
-
 class RefreshPolicy:
     """Refresh after every ``every_rows`` inserted rows; the count starts anew
     with a restarted stream."""

@@ -136,22 +136,23 @@ GROUP BY source_ip, source_port"""
     # ------------------------------------------------------------ summaries
     b["summary_attack_hourly"] = """
 SELECT hour_bucket, attack_category, attack_label, event_count, total_bytes,
-  CAST(avg_cents AS DOUBLE) / 100 AS avg_duration_ms, CAST(unique_sources AS INTEGER) AS unique_sources
+  CAST(avg_cents AS DOUBLE) / 100 AS avg_duration_ms, CAST(unique_sources AS BIGINT) AS unique_sources
 FROM sah"""
     b["summary_top_sources"] = """
-SELECT day_bucket, source_ip, country, CAST(attack_count AS INTEGER) AS attack_count,
-  CAST(distinct_targets AS INTEGER) AS distinct_targets, primary_attack,
+SELECT day_bucket, source_ip, country, CAST(attack_count AS BIGINT) AS attack_count,
+  CAST(distinct_targets AS BIGINT) AS distinct_targets, primary_attack,
   CAST(score_cents AS DOUBLE) / 100 AS threat_score FROM sts"""
     b["summary_protocol_daily"] = f"""
 SELECT day_bucket, protocol_name, total_events, attack_events,
   {HU('attack_events', 'total_events', 4)} AS attack_ratio FROM spd"""
     b["summary_severity_daily"] = """
-SELECT day_bucket, severity, event_count, CAST(unique_sources AS INTEGER) AS unique_sources FROM ssd"""
+SELECT day_bucket, severity, event_count, CAST(unique_sources AS BIGINT) AS unique_sources FROM ssd"""
     b["summary_dest_port_daily"] = """
 SELECT day_bucket, dest_port, service_name, attack_category, event_count FROM sdp"""
     b["summary_weekend_weekday"] = f"""
 SELECT is_weekend, attack_category, total_events, attack_events,
   {HU('attack_events * 100', 'total_events')} AS attack_rate_pct FROM sww"""
+    b |= {f"{name}_refreshed": body for name, body in b.items() if name.startswith("summary_")}  # however it was kept up to date
     # ------------------------------------------------------------ Q _s
     b["q1_s"] = """
 SELECT attack_category, CAST(SUM(event_count) AS BIGINT) AS total_events FROM sah
@@ -391,8 +392,8 @@ GROUP BY _error, source_ip, label"""
 SELECT event_id, source_ip, label, _error FROM checked WHERE _error IS NOT NULL
 ORDER BY event_id LIMIT 200"""
     b["summary_top_sources_rank"] = """
-SELECT b.day_bucket, b.source_ip, b.country, CAST(b.attack_count AS INTEGER) AS attack_count,
-  CAST(b.distinct_targets AS INTEGER) AS distinct_targets, m.primary_attack,
+SELECT b.day_bucket, b.source_ip, b.country, CAST(b.attack_count AS BIGINT) AS attack_count,
+  CAST(b.distinct_targets AS BIGINT) AS distinct_targets, m.primary_attack,
   CAST((2 * CAST(b.attack_count * b.distinct_targets * b.w AS HUGEINT) * 100 + b.n) // (2 * b.n) AS DOUBLE) / 100
     AS threat_score
 FROM (SELECT day_bucket, source_ip, source_country AS country,
@@ -411,6 +412,19 @@ FROM (SELECT a.source_ip AS ip1, b.source_ip AS ip2, COUNT(*) AS shared_count,
 JOIN (SELECT source_ip, arg_min(source_country, event_id) AS country FROM ev GROUP BY source_ip) v1 ON v1.source_ip = p.ip1
 JOIN (SELECT source_ip, arg_min(source_country, event_id) AS country FROM ev GROUP BY source_ip) v2 ON v2.source_ip = p.ip2
 ORDER BY p.shared_count DESC, p.ip1, p.ip2 LIMIT 20"""
+    sets = """(SELECT source_ip, string_agg(label, '|' ORDER BY label) AS label_set, list(label) AS labels
+      FROM (SELECT DISTINCT source_ip, label FROM ev) GROUP BY source_ip)"""
+    b["e_has_label_set"] = f"SELECT source_ip AS src_ip, label_set FROM {sets}"
+    b["v_label_set"] = f"""
+SELECT label_set, CAST(any_value(len(labels)) AS INTEGER) AS n_labels, COUNT(*) AS n_sources FROM {sets} GROUP BY label_set"""
+    classes = f"(SELECT label_set, any_value(labels) AS labels, COUNT(*) AS n FROM {sets} GROUP BY label_set)"
+    b["e_connected_to"] = f"""
+SELECT set_a, set_b, array_to_string(list_sort(shared), ',') AS shared_attacks, CAST(len(shared) AS BIGINT) AS shared_count,
+  CAST(n_pairs AS DOUBLE) AS n_pairs
+FROM (SELECT x.label_set AS set_a, y.label_set AS set_b, list_intersect(x.labels, y.labels) AS shared,
+        CASE WHEN x.label_set = y.label_set THEN x.n * (x.n - 1) // 2 ELSE x.n * y.n END AS n_pairs
+      FROM {classes} x JOIN {classes} y ON x.label_set <= y.label_set)
+WHERE len(shared) > 0 AND n_pairs > 0"""
     parts = {m: b[f"q1_{m}"] for m in ("s", "f", "d", "g")}
     b["model_reconcile"] = f"""
 SELECT attack_category, s.total_events AS total_events_s, f.total_events AS total_events_f,

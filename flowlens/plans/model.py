@@ -21,6 +21,7 @@ MODEL_ORDER = [
     "fact_network_event", "documents", "doc_hourly_summary",
     "v_source_ip", "v_destination_ip", "v_attack_type", "v_protocol", "v_time_window",
     "e_attacked", "e_used_attack", "e_targeted_by", "e_used_protocol", "e_active_in",
+    "e_has_label_set", "v_label_set", "e_connected_to",
     *summaries.BUILDERS,
 ]
 
@@ -68,6 +69,9 @@ def tables_from_events(flow_events: DataFrame, trusted_lookups: bool = False,
                  "e_attacked", "e_used_attack", "e_targeted_by", "e_used_protocol", "e_active_in"):
         fn = getattr(graph, name)
         b[name] = (lambda fn: lambda t: fn(t["graph_input"]))(fn)
+    b["e_has_label_set"] = lambda t: graph.e_has_label_set(t["e_used_attack"])
+    b["v_label_set"] = lambda t: graph.v_label_set(t["e_has_label_set"])
+    b["e_connected_to"] = lambda t: graph.e_connected_to(t["v_label_set"])
     for name, fn in summaries.BUILDERS.items():
         b[name] = (lambda fn: lambda t: fn(t))(fn)
     tables = Tables(b)

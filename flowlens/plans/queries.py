@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..operators import graph, star
 from ..operators.summaries import day_of_key, hour_of_key
 from . import common as C
 
@@ -236,9 +237,8 @@ def q8_f(t, limit: int = 20):
     k = max(limit, 1) + 1
     f = _fact(t).filter("is_attack").groupBy("source_key", "attack_key").agg(
         F.count(F.lit(1)).cast("decimal(19,0)").alias("c"))  # products go beyond BIGINT
-    ds = t["dim_source"].select("source_key", "source_ip")
-    per = (f.join(ds, "source_key").join(_attack_dim(t, "attack_label"), "attack_key")
-           .groupBy("source_ip", "attack_label")
+    per = (f.join(_attack_dim(t, "attack_label"), "attack_key")
+           .groupBy(star.endpoint_ip("source_key").alias("source_ip"), "attack_label")
            .agg(F.sum("c").cast("decimal(19,0)").alias("a"), F.sum(F.col("c") * F.col("c")).alias("sq")))
     self_pairs = (per.select(F.col("source_ip").alias("ip1"), F.col("source_ip").alias("ip2"),
                              F.col("attack_label").alias("shared_attack"),
@@ -522,91 +522,43 @@ def q12_g(t):
             .orderBy("hour_bucket"))
 
 
-def q8_g(t, limit: int = 20, start_threshold: int | None = None) -> DataFrame:
+def q8_g(t, limit: int = 20) -> DataFrame:
     """Address pairs sharing attack labels (any label, BENIGN included), top
     ``limit`` by number of shared labels, then (ip1, ip2).
 
-    The pair relation is never materialised in full.  First only the
-    ``limit + 1`` smallest addresses of each distinct label set are kept
-    (exact, see below).  Then overlap-threshold
-    prefix filtering (order labels rarest first; two label sets with overlap
-    >= k must share a label among the first |L| - k + 1 of each) yields every
-    pair with overlap >= k from a join on those prefix entries only.  k
-    starts at the largest possible overlap and is lowered until at least
-    ``limit`` pairs reach it; the pairs with overlap >= k are then complete,
-    so the top ``limit`` is exact.  Each round is one Spark job; the driver
-    only reads a count, and the result is lazy.
+    Answered from the factored CONNECTED_TO relation in one plan.  Sources of
+    one label set differ only in their order, so of each set only the
+    ``limit + 1`` smallest can be in the answer (a partial WindowGroupLimit
+    before the shuffle: a set with a third of all sources costs no more).  Each
+    two sets are then ranked by their overlap and by their smallest pair; a pair
+    of sets beyond the first ``limit`` has ``limit`` better pairs, the smallest
+    ones of those before it.  Only the pairs of the first ``limit`` are expanded.
     """
-    def label_sets() -> tuple[DataFrame, DataFrame]:
-        """Labels of the kept addresses, plain and ranked rarest first."""
-        ipl = t["e_used_attack"].select("src_ip", "label").distinct()
-        # Addresses with the same label set differ only in their order: a pair
-        # using an address that is not among the ``limit + 1`` smallest of its
-        # label set has ``limit`` better pairs (same overlap, smaller addresses),
-        # so only those smallest addresses per distinct label set are kept.  The
-        # row-number filter runs as a partial WindowGroupLimit before the shuffle,
-        # so one label set shared by a third of all addresses costs no more.
-        sig = ipl.groupBy("src_ip").agg(F.array_sort(F.collect_set("label")).alias("sig"))
-        sw = Window.partitionBy("sig").orderBy("src_ip")
-        keep = (sig.withColumn("rn", F.row_number().over(sw)).filter(F.col("rn") <= limit + 1)
-                .select("src_ip"))
-        ipl = ipl.join(keep, "src_ip", "left_semi")
-        return ipl, _ranked_labels(ipl)
-
-    # the rounds that settle the threshold share cached label sets
-    ipl, ranked = (df.persist() for df in label_sets())
-    if start_threshold is None:
-        sizes = ranked.select("src_ip", "size").distinct()
-        # the largest overlap a pair can have is the second largest set size
-        top2 = sizes.orderBy(F.desc("size")).limit(2).agg(F.min("size")).first()[0]
-        start_threshold = int(top2 or 1)
-    k = max(int(start_threshold), 1)
-    while k > 1 and _pairs_with_overlap(ranked, ipl, k).limit(limit).count() < limit:
-        k -= 1
-    for cached in (ranked, ipl):
-        cached.unpersist()
-    # the answer itself is a lazy frame over the stored edges
-    ipl, ranked = label_sets()
-    pairs = _pairs_with_overlap(ranked, ipl, k)
+    w = Window.partitionBy("label_set").orderBy("src_ip")
+    few = (t["e_has_label_set"].select("src_ip", "label_set").withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= limit + 1)
+           .groupBy("label_set").agg(F.array_sort(F.collect_list("src_ip")).alias("ips")))
+    ranked = (t["e_connected_to"].join(few.toDF("set_a", "ips_a"), "set_a").join(few.toDF("set_b", "ips_b"), "set_b")
+              .withColumn("same", F.col("set_a") == F.col("set_b"))
+              .withColumn("other", F.when(F.col("same"), F.get("ips_b", F.lit(1))).otherwise(F.get("ips_b", F.lit(0)))))
+    first, second = F.least(F.get("ips_a", F.lit(0)), "other"), F.greatest(F.get("ips_a", F.lit(0)), "other")
+    best = C.top(ranked, limit, F.desc("shared_count"), first, second)
+    pairs = (best.select("same", "shared_attacks", "shared_count", F.explode("ips_a").alias("x"), "ips_b")
+             .select("same", "shared_attacks", "shared_count", "x", F.explode("ips_b").alias("y")).filter("NOT same OR x < y")
+             .select(F.least("x", "y").alias("ip1"), F.greatest("x", "y").alias("ip2"), "shared_attacks", "shared_count"))
+    pairs = C.top(pairs, limit, F.desc("shared_count"), "ip1", "ip2")
     v = t["v_source_ip"].select("ip", "country")
     out = (pairs.join(v.select(F.col("ip").alias("ip1"), F.col("country").alias("country1")), "ip1")
            .join(v.select(F.col("ip").alias("ip2"), F.col("country").alias("country2")), "ip2")
            .select("ip1", "country1", "ip2", "country2", "shared_attacks", "shared_count"))
-    return C.top(out, limit, F.desc("shared_count"), "ip1", "ip2")
-
-
-def _ranked_labels(ipl: DataFrame) -> DataFrame:
-    """Each address's labels with their place, rarest first, and their number."""
-    freq = ipl.groupBy("label").agg(F.count(F.lit(1)).alias("f"))
-    lw = Window.partitionBy("src_ip").orderBy("f", "label")
-    return (ipl.join(freq, "label")
-            .withColumn("pos", F.row_number().over(lw))
-            .withColumn("size", F.count(F.lit(1)).over(Window.partitionBy("src_ip"))))
-
-
-def _pairs_with_overlap(ranked: DataFrame, ipl: DataFrame, k: int) -> DataFrame:
-    pre = ranked.filter((F.col("size") >= k) & (F.col("pos") <= F.col("size") - k + 1)) \
-        .select("src_ip", "label")
-    a, b = pre.alias("a"), pre.alias("b")
-    cand = (a.join(b, (F.col("a.label") == F.col("b.label")) & (F.col("a.src_ip") < F.col("b.src_ip")))
-            .select(F.col("a.src_ip").alias("ip1"), F.col("b.src_ip").alias("ip2")).distinct())
-    l1 = ipl.select(F.col("src_ip").alias("ip1"), "label")
-    l2 = ipl.select(F.col("src_ip").alias("ip2"), "label")
-    shared = cand.join(l1, "ip1").join(l2, ["ip2", "label"])
-    return (shared.groupBy("ip1", "ip2")
-            .agg(F.count(F.lit(1)).alias("shared_count"),
-                 F.array_sort(F.collect_list("label")).alias("shared_attacks"))
-            .filter(F.col("shared_count") >= k))
-
-
-def e_connected_to(t, min_shared: int) -> DataFrame:
-    """CONNECTED_TO edges: address pairs (ip1 < ip2) sharing at least
-    ``min_shared`` labels, with the sorted shared labels and their number.
-
-    Output-sensitive: the prefix filter only forms candidate pairs that can
-    reach ``min_shared``, so the work follows the size of the answer.  A low
+    return out.orderBy(F.desc("shared_count"), "ip1", "ip2")
+
+
+def connected_pairs(t, min_shared: int) -> DataFrame:
+    """CONNECTED_TO edges as address pairs (ip1 < ip2) sharing at least
+    ``min_shared`` labels.  The work follows the size of the answer; a low
     threshold asks for (nearly) every pair of a label, which is quadratic by
-    definition; the top-k question is :func:`q8_g`.
+    definition - ask ``e_connected_to`` for numbers of pairs and :func:`q8_g`
+    for the first ones instead.
     """
-    ipl = t["e_used_attack"].select("src_ip", "label").distinct()
-    return _pairs_with_overlap(_ranked_labels(ipl), ipl, max(int(min_shared), 1))
+    overlaps = t["e_connected_to"].filter(F.col("shared_count") >= max(int(min_shared), 1))
+    return graph.expand_connected(overlaps, t["e_has_label_set"])

@@ -6,7 +6,8 @@ from the session it is given, or a folder that its caller names.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -68,3 +69,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     folder's URI scheme stays: without it a cluster whose default file system
     is another one would write elsewhere."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}"
+
+
+def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """A written table, or None where nothing has been written yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise

@@ -10,14 +10,13 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import lookups as L
 from ..operators import clean, validate
-from ..session import checkpoint_dir, scratch_path
+from ..session import checkpoint_dir, read_or_none, scratch_path
 from ..sources import adapter
 
 EVENT_SCHEMA = T.StructType([
@@ -122,7 +121,7 @@ def emit_changes_to_table(agg: DataFrame, path: str, keys: list[str], checkpoint
         checkpoint_dir(spark)          # registers spark.checkpoint.dir for checkpoint()
         b = batch.withColumn("_day", F.to_date(F.col(time_col))).persist()  # the state is computed once
         try:
-            stored = _read_or_none(spark, path)
+            stored = read_or_none(spark, path)
             if stored is None:
                 merged = b
             else:
@@ -138,15 +137,6 @@ def emit_changes_to_table(agg: DataFrame, path: str, keys: list[str], checkpoint
             .foreachBatch(upsert))
 
 
-def _read_or_none(spark: SparkSession, path: str):
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # nothing written yet
-            return None
-        raise
-
-
 def pull_query(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Current content of a table kept by :func:`emit_changes_to_table`.  With
     the aggregate's ``schema``, a table without rows yet is empty."""

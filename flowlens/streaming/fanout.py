@@ -17,7 +17,7 @@ import logging
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import graph, nested, star, summaries, upsert, validate
+from ..operators import graph, incremental, nested, star, summaries, upsert, validate
 
 log = logging.getLogger(__name__)
 
@@ -77,7 +77,7 @@ def fanout_stream(events: DataFrame, base: str, checkpoint: str, trusted_lookups
     """``writeStream`` that fans every micro-batch out to all models.  Parsed
     messages get their arrival ids here; lines that failed to parse are kept
     under ``parse_dead_letters``.  With a ``refresh`` policy the summaries are
-    rebuilt under ``base/summaries`` whenever enough rows have come in; call
+    brought up to date under ``base/summaries`` whenever enough rows have come in; call
     ``refresh_summaries`` once more when the stream has ended."""
     from ..sources import messages
 
@@ -119,11 +119,13 @@ def merged_hourly_documents(spark, base: str) -> DataFrame:
 
 
 def refresh_summaries(spark, base: str, refresh: int) -> dict[str, str]:
-    """Rebuild the six summaries from what all batches wrote.  A summary that
-    fails keeps its last refresh; it is logged and rebuilt the next time."""
+    """Bring the six summaries up to the batches up to ``refresh``: only the
+    facts of new batches and the states of the days they touch are read.  A
+    summary that fails keeps what it has; it is logged and catches up the next
+    time."""
     t = {name: merged_first(spark, base, name) for name in FIRST_WINS if name.startswith("dim_")}
-    t["fact_network_event"] = spark.read.parquet(f"{base}/fact_network_event").drop("batch_id")
-    status = summaries.refresh_all(t, f"{base}/summaries", refresh)
+    facts = spark.read.parquet(f"{base}/fact_network_event")
+    status = incremental.refresh_all(t, facts, f"{base}/summaries", refresh)
     for name, what in status.items():
         if what != "ok":
             log.warning("summary %s not refreshed at batch %s: %s", name, refresh, what)

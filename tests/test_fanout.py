@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from flowlens.operators import star, summaries, upsert
+from flowlens.operators import incremental, star, summaries, upsert
 from flowlens.streaming import aggregates as A
 from flowlens.streaming import fanout
 
@@ -44,7 +44,7 @@ def test_fanout_all_models_and_replay(spark, tables, tmpdir_path):
     assert rows_text(hourly.select(*tables["doc_hourly_summary"].columns)) == rows_text(tables["doc_hourly_summary"])
     assert set(fanout.refresh_summaries(spark, base, 7).values()) == {"ok"}
     for name in summaries.BUILDERS:
-        got = summaries.current_summary(spark, f"{base}/summaries", name)
+        got = incremental.current_summary(spark, f"{base}/summaries", name)
         assert rows_text(got.select(*tables[name].columns)) == rows_text(tables[name]), name
     # replay of batch 0: same directory is overwritten, nothing is duplicated
     batch = stream.sparkSession.read.parquet(SF_SMALL + "/events.parquet")
@@ -79,7 +79,7 @@ def test_summaries_are_refreshed_in_the_stream(spark, tables, tmpdir_path):
     stream = spark.readStream.schema(tables["events"].schema).parquet(f"{tmpdir_path}/in")
     fanout.fanout_stream(stream, f"{tmpdir_path}/wh", f"{tmpdir_path}/ck", refresh=summaries.RefreshPolicy(1)) \
         .trigger(availableNow=True).start().awaitTermination()
-    got = summaries.current_summary(spark, f"{tmpdir_path}/wh/summaries", "summary_protocol_daily")
+    got = incremental.current_summary(spark, f"{tmpdir_path}/wh/summaries", "summary_protocol_daily")
     assert rows_text(got.select(*tables["summary_protocol_daily"].columns)) == rows_text(tables["summary_protocol_daily"])
 
 
@@ -115,3 +115,45 @@ def test_replace_by_key_replaces(spark):
     incoming = spark.createDataFrame([("b", 5), ("c", 7)], "k string, v int")
     assert rows(upsert.replace_by_key(stored, incoming, ["k"])) == [("a", 1), ("b", 5), ("c", 7)]
     assert rows(upsert.insert_new_keys(stored, incoming, ["k"])) == [("a", 1), ("b", 2), ("c", 7)]
+
+
+def test_summaries_from_batches_alone(spark, tables, tmpdir_path, monkeypatch):
+    """Three batches that touch the same days, a batch of one day, a failing
+    summary and a failing refresh: always equal to the batch summaries of what
+    has come in, and no day is written that no new batch touches."""
+    base = f"{tmpdir_path}/summaries"
+    fact = tables["fact_network_event"].persist()
+    last = fact.agg(F.max(summaries.day_of_key())).first()[0]
+    batch = F.when(summaries.day_of_key() == F.lit(last), 3).otherwise(F.pmod(F.xxhash64("event_id"), F.lit(3))).cast("int")
+    facts = fact.withColumn("batch_id", batch).persist()
+    dims = {n: tables[n] for n in ("dim_source", "dim_attack", "dim_protocol", "dim_destination", "dim_time")}
+
+    def check(upto):
+        want = dict(dims, fact_network_event=facts.filter(F.col("batch_id") <= upto).drop("batch_id"))
+        for name, build in summaries.BUILDERS.items():
+            got, one = incremental.current_summary(spark, base, name), build(want)
+            assert got.select(*one.columns).dtypes == one.dtypes and rows_text(got.select(*one.columns)) == rows_text(one), (name, upto)
+
+    assert set(incremental.refresh_all(dims, facts, base, 0).values()) == {"ok"}
+    check(0)
+    broken = dict(incremental.BUILDERS, summary_severity_daily=lambda s, t: 1 / 0)
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "BUILDERS", broken)
+        status = incremental.refresh_all(dims, facts, base, 1)
+    assert {n for n, s in status.items() if s != "ok"} == {"summary_severity_daily"}
+    with monkeypatch.context() as m:  # the states are written, but not the ledger
+        m.setattr(incremental, "_commit", lambda *a: 1 / 0)
+        try:
+            incremental.refresh_all(dims, facts, base, 2)
+            raise AssertionError("no failure")
+        except ZeroDivisionError:
+            pass
+    assert set(incremental.refresh_all(dims, facts, base, 2).values()) == {"ok"}
+    check(2)
+    assert set(incremental.refresh_all(dims, facts, base, 3).values()) == {"ok"}
+    check(3)
+    for name in ["states/sources", *summaries.BUILDERS]:
+        written = [r.day for r in spark.read.parquet(f"{base}/{name}").filter("refresh = 3").select("day").distinct().collect()]
+        assert written == [last] or (name in ("summary_severity_daily", "summary_dest_port_daily") and not written), name
+    assert set(incremental.refresh_all(dims, facts, base, 9).values()) == {"ok"}  # nothing new
+    check(3)

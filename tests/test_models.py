@@ -100,11 +100,32 @@ def test_connected_to_threshold_matches_brute_force(tables):
              .groupBy(F.col("a.src_ip").alias("ip1"), F.col("b.src_ip").alias("ip2"))
              .agg(F.count(F.lit(1)).alias("shared_count")))
     for k in (2, 4):
-        got = sorted((r.ip1, r.ip2, r.shared_count) for r in Q.e_connected_to(tables, k).collect())
+        got = sorted((r.ip1, r.ip2, r.shared_count) for r in Q.connected_pairs(tables, k).collect())
         want = sorted(tuple(r) for r in brute.filter(F.col("shared_count") >= k).collect())
         assert got == want
 
 
+def test_connected_to_is_lossless(tables):
+    """Expanding the factored relation gives every pair of the brute force."""
+    got = sorted((r.ip1, r.ip2, r.shared_count, list(r.shared_attacks)) for r in Q.connected_pairs(tables, 1).collect())
+    want = sorted((r.ip1, r.ip2, r.shared_count, list(r.shared_attacks)) for r in _brute_q8_g(tables, 10**7).collect())
+    assert got == want and len(got) > 0
+    assert tables["e_connected_to"].agg(F.sum("n_pairs")).first()[0] == len(want)
+
+
+def test_q8_g_of_few_large_and_lonely_label_sets(spark):
+    from flowlens.operators import graph
+    used = [(f"10.0.0.{i:03d}", x) for i in range(200) for x in ("a", "b", "c")[: 1 + i % 3]] + [("9.9.9.9", "z"), ("8.8.8.8", "c"), ("7.7.7.7", "c")]
+    e = spark.createDataFrame(used + used[:5], "src_ip string, label string")
+    members = graph.e_has_label_set(e)
+    t = {"e_used_attack": e, "e_has_label_set": members, "e_connected_to": graph.e_connected_to(graph.v_label_set(members)),
+         "v_source_ip": e.select(F.col("src_ip").alias("ip"), F.lit("x").alias("country")).distinct()}
+    for limit in (1, 3, 50, 5000):
+        got = [(r.ip1, r.ip2, r.shared_count) for r in Q.q8_g(t, limit).collect()]
+        assert got == [(r.ip1, r.ip2, r.shared_count) for r in _brute_q8_g(t, limit).collect()]
+    assert "e_used_attack" in t and Q.q8_g(dict(t, e_connected_to=t["e_connected_to"].limit(0))).count() == 0
+
+
 def test_clean_stats_observed_in_one_pass(spark):
     from pyspark.sql import Observation
 
