@@ -98,3 +98,26 @@ def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
 def check_fk(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:
     """Fact rows whose key has no dimension row (empty when the FK holds)."""
     return fact.join(dim.select(key), on=key, how="left_anti")
+
+
+def audit_keys(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """Uniqueness and foreign keys of a star schema in one pass: one row for each
+    of ``dims`` ({dimension: (its rows, its key)}) with the numbers of its keys,
+    of duplicated keys, of fact keys without a row (orphans), of fact rows and of
+    those that orphans concern.
+
+    The fact's keys of all dimensions and the dimensions' own keys are one tagged
+    union with one shuffle; fact rows are counted by key before it.
+    """
+    tagged = F.explode(F.array(*[F.struct(F.lit(name).alias("dimension"), F.col(key).cast("bigint").alias("key"))
+                                 for name, (_, key) in dims.items()])).alias("k")
+    rows = fact.select(tagged).select("k.dimension", "k.key", F.lit(0).alias("held"), F.lit(1).alias("used"))
+    for name, (dim, key) in dims.items():
+        rows = rows.unionByName(dim.select(F.lit(name).alias("dimension"), F.col(key).cast("bigint").alias("key"),
+                                           F.lit(1).alias("held"), F.lit(0).alias("used")))
+    keys = rows.groupBy("dimension", "key").agg(F.sum("held").alias("held"), F.sum("used").alias("used"))
+    orphan = (F.col("held") == 0) | F.col("key").isNull()
+    return keys.groupBy("dimension").agg(
+        F.count_if(F.col("held") > 0).alias("n_keys"), F.count_if(F.col("held") > 1).alias("n_duplicated"),
+        F.count_if(orphan & (F.col("used") > 0)).alias("n_orphans"), F.sum("used").alias("n_fact_rows"),
+        F.coalesce(F.sum(F.when(orphan, F.col("used"))), F.lit(0)).alias("n_orphan_rows"))

@@ -124,6 +124,20 @@ SELECT 'relationships', (SELECT COUNT(*) FROM (SELECT DISTINCT source_ip, destin
   + (SELECT COUNT(*) FROM (SELECT DISTINCT label, hour_bucket FROM ev))"""
     b["summary_hourly_incremental"] = b["doc_hourly_summary"]
     b["edge_merge_two_batches"] = b["e_attacked"]
+    b["surrogate_key"] = """
+SELECT source_ip, source_port, MIN(event_id) FILTER (WHERE late = first_late) AS first_arrival,
+  row_number() OVER (ORDER BY any_value(first_late), MIN(event_id) FILTER (WHERE late = first_late)) AS serial
+FROM (SELECT *, hour(timestamp) >= 12 AS late, MIN(hour(timestamp) >= 12) OVER (PARTITION BY source_ip, source_port) AS first_late FROM ev)
+GROUP BY source_ip, source_port"""
+    b["unique_sources_daily"] = """
+SELECT CAST(timestamp AS DATE) AS day_bucket, label AS attack_label, COUNT(DISTINCT (source_ip, source_port)) AS unique_sources
+FROM ev GROUP BY 1, 2"""
+    dims = {"dim_time": "SELECT DISTINCT minute FROM ev", "dim_source": "SELECT DISTINCT source_ip, source_port FROM ev",
+            "dim_destination": "SELECT DISTINCT destination_ip, destination_port FROM ev", "dim_attack": "SELECT attack_label FROM da",
+            "dim_protocol": "SELECT protocol_name FROM dp"}
+    b["audit_keys"] = " UNION ALL ".join(f"""
+SELECT '{name}' AS dimension, (SELECT COUNT(*) FROM ({keys})) AS n_keys, CAST(0 AS BIGINT) AS n_duplicated, CAST(0 AS BIGINT) AS n_orphans,
+  (SELECT COUNT(*) FROM ev) AS n_fact_rows, CAST(0 AS BIGINT) AS n_orphan_rows""" for name, keys in dims.items())
     b["dim_upsert_two_batches"] = """
 SELECT source_ip, source_port, arg_min(source_country, k) AS country, arg_min(source_region, k) AS region,
   CASE WHEN TRY_CAST(split_part(source_ip, '.', 1) AS INTEGER) IS NULL THEN 'Unknown'

@@ -106,6 +106,35 @@ def _dim_upsert(t) -> DataFrame:
     return upsert.insert_new_keys(d1, d2, ["source_ip", "source_port"])
 
 
+def _source_serials(t) -> DataFrame:
+    """Serial keys of all source end points, given in two batches of events."""
+    if getattr(t, "serials", None) is None:
+        from ..operators import serial
+        base = scratch_path(t["events"].sparkSession, f"serials-{uuid.uuid4().hex[:12]}")
+        for k, batch in enumerate(_two_batches(t, "events")):
+            serial.extend_serials(batch, ["source_ip", "source_port"], "event_id", base, k)
+        t.serials = base
+    from ..operators import serial
+    return serial.serials(t["events"].sparkSession, t.serials)
+
+
+def _unique_sources(t) -> DataFrame:
+    """Distinct source end points by day and label, merged from hourly bitmaps."""
+    from ..operators import serial
+    numbers = _source_serials(t).select(star.source_key().alias("source_key"), "serial")
+    hourly = serial.hourly_source_bitmaps(t["fact_network_event"], numbers)
+    daily = hourly.withColumn("day_bucket", F.to_date("hour_bucket"))
+    out = serial.distinct_sources(daily, ["day_bucket", "attack_key"])
+    return out.join(t["dim_attack"].select("attack_key", "attack_label"), "attack_key").select("day_bucket", "attack_label", "unique_sources")
+
+
+def _audit(t) -> DataFrame:
+    from ..operators import validate
+    dims = {"dim_time": "time_key", "dim_source": "source_key", "dim_destination": "dest_key",
+            "dim_attack": "attack_key", "dim_protocol": "protocol_key"}
+    return validate.audit_keys(t["fact_network_event"], {name: (t[name], key) for name, key in dims.items()})
+
+
 def _message_round_trip(t) -> DataFrame:
     """Every valid event published as a message and parsed again."""
     from ..sources import messages as M
@@ -158,6 +187,9 @@ def registry() -> dict[str, Callable]:
     r["q8_f"] = lambda t: C.decimals_to_double(Q.q8_f(t))
     for fn in (Q.q2_s, Q.q2_f, Q.q2_ds, Q.q2_g):
         r[f"{fn.__name__}_day"] = (lambda f: lambda t: f(t, L.SAMPLE_DAY))(fn)
+    r["surrogate_key"] = lambda t: _source_serials(t).select("source_ip", "source_port", "first_arrival", "serial")
+    r["unique_sources_daily"] = _unique_sources
+    r["audit_keys"] = _audit
     r["message_round_trip"] = _message_round_trip
     for fn in (logs.parse_logs, logs.tail_per_service, logs.merged_logs, logs.log_level_counts):
         r[fn.__name__] = (lambda f: lambda t: f(_log_lines(t)))(fn)

@@ -82,10 +82,18 @@ def fanout_stream(events: DataFrame, base: str, checkpoint: str, trusted_lookups
     from ..sources import messages
 
     def each(batch: DataFrame, batch_id: int):
-        if "_parse_error" in batch.columns:
-            batch = messages.sequenced(batch, batch_id)
-            _write(messages.dead_letters(batch), f"{base}/parse_dead_letters", batch_id)
-            batch = messages.good_events(batch)
+        parsed = batch.persist() if "_parse_error" in batch.columns else None
+        try:
+            if parsed is not None:
+                batch = messages.sequenced(parsed, batch_id)
+                _write(messages.dead_letters(batch), f"{base}/parse_dead_letters", batch_id)
+                batch = messages.good_events(batch)
+            write(batch, batch_id)
+        finally:
+            if parsed is not None:
+                parsed.unpersist()
+
+    def write(batch: DataFrame, batch_id: int):
         failed = {k: v for k, v in write_models(batch, batch_id, base, trusted_lookups).items() if v != "ok"}
         if failed:  # the batch is replayed; writes are keyed by its id
             raise RuntimeError(f"batch {batch_id}: models not written: {failed}")
