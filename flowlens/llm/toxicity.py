@@ -144,7 +144,7 @@ def _described(voters: list[str]):
         for batch in batches:
             counts = [word_counts(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array([votes(c) for c in counts], pa.list_(pa.int32())),
-                                              pa.array([hashed(c).astype(np.float32) for c in counts], pa.list_(pa.float32()))], names=["fired", "texts"])
+                                              pa.array([hashed(c).astype("<f4").tobytes() for c in counts], pa.binary())], names=["fired", "texts"])
     return describe
 
 
@@ -198,13 +198,19 @@ def label_model(votes: np.ndarray, share: float, precision: np.ndarray, rounds:
     return p
 
 
-def linear(x: np.ndarray, p: np.ndarray, ridge: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft labels, by Newton's steps with a ridge for each feature."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w, ridge = np.zeros(x.shape[1]), np.append(ridge, 1e-3)
+def linear(x: np.ndarray, p: np.ndarray, ridge: np.ndarray, rounds: int = 30, block: int = 1024) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft labels, by Newton's steps with a ridge for
+    each feature.  Sums run over blocks of rows, in double precision, so that
+    beside ``x`` little memory is needed."""
+    w, ridge = np.zeros(x.shape[1] + 1), np.append(ridge, 1e-3)
     for _ in range(rounds):
-        y = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        step = np.linalg.solve((x * (y * (1 - y) + 1e-9)[:, None]).T @ x + np.diag(ridge), x.T @ (y - p) + ridge * w)
+        curve, slope = np.diag(ridge), ridge * w
+        for at in range(0, len(x), block):
+            rows = np.hstack([x[at:at + block], np.ones((len(x[at:at + block]), 1))]).astype(np.float64)
+            y = 1 / (1 + np.exp(-np.clip(rows @ w, -30, 30)))
+            curve += (rows * (y * (1 - y) + 1e-9)[:, None]).T @ rows
+            slope += rows.T @ (y - p[at:at + block])
+        step = np.linalg.solve(curve, slope)
         w -= step
         if np.abs(step).max() < 1e-6:
             break
@@ -220,7 +226,7 @@ def fit(voters: list[str], precision: list[float], fired: list[list[int]], texts
     votes = votes[:, chosen]
     p = label_model(votes, share, np.array(precision)[chosen])
     ridge = np.repeat([VOTE_RIDGE, TEXT_RIDGE], [len(chosen), texts.shape[1]])
-    w, bias = linear(np.hstack([votes, texts]), p, ridge)
+    w, bias = linear(np.hstack([votes.astype(np.float32), texts.astype(np.float32)]), p, ridge)
     return Model([voters[k] for k in chosen], w[:len(chosen)].tolist(), w[len(chosen):].tolist(), bias), p
 
 
@@ -251,8 +257,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     if not found:  # nothing is known to be toxic
         return Model(bias=math.log(share / (1 - share)) if share < 0.4 else -1.0)
     voters = [r["mark"] for r in found]
-    seen = texts.select("text").mapInArrow(_described(voters), "fired array<int>, texts array<float>").collect()
-    return fit(voters, [r["precision"] for r in found], [r["fired"] for r in seen], np.array([r["texts"] for r in seen], np.float64), share)[0]
+    seen = texts.select("text").mapInArrow(_described(voters), "fired array<int>, texts binary").toArrow()
+    rows = np.stack([np.frombuffer(x.as_py(), "<f4") for x in seen.column("texts")])
+    return fit(voters, [r["precision"] for r in found], seen.column("fired").to_pylist(), rows, share)[0]
 
 
 def scorer(model: Model):
