@@ -3,7 +3,8 @@
 ``foreachBatch`` persists the batch once, splits good and quarantined rows,
 and writes each model under ``batch_id=<n>``; a replayed batch overwrites the
 same directory, so delivery is effectively exactly-once.  A failing model
-write is recorded and does not stop the others.
+write does not stop the others; a ledger keeps what each batch has written, so
+the replay writes only what failed.
 
 Facts, documents and dead letters of all batches simply add up.  Dimensions
 and vertices are first-write-wins (``merged_first``), edges and the hourly
@@ -13,11 +14,13 @@ document summary are additive (``merged_edges``, ``merged_hourly_documents``).
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import graph, incremental, nested, star, summaries, upsert, validate
+from ..session import read_or_none
 
 log = logging.getLogger(__name__)
 
@@ -35,12 +38,25 @@ def _write(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
+def written_models(spark, base: str, batch_id: int) -> set[str]:
+    """The models that the ledger names for a batch."""
+    rows = read_or_none(spark, f"{base}/ledger/batch_id={batch_id}")
+    return set() if rows is None else {r["model"] for r in rows.collect()}
+
+
 def write_models(batch: DataFrame, batch_id: int, base: str,
-                 trusted_lookups: bool = False) -> dict[str, str]:
+                 trusted_lookups: bool = False, parallel: int = 4) -> dict[str, str]:
     """Write every model of one batch: dead letters, fact, dimensions,
     documents and their hourly summary, vertices and edges.  Returns
-    {model: 'ok' | error text}."""
-    status: dict[str, str] = {}
+    {model: 'ok' | error text}.
+
+    The writes are independent jobs, ``parallel`` of them submitted at a time.
+    A ledger under ``base/ledger`` keeps which models a batch has written, so a
+    replay writes only those that failed (all of them, over what is there, if
+    the driver was lost before the ledger was written).
+    """
+    spark = batch.sparkSession
+    done = written_models(spark, base, batch_id)
     batch = batch.persist()
     checked = validate.with_errors(batch, trusted_lookups).persist()
     try:
@@ -59,13 +75,21 @@ def write_models(batch: DataFrame, batch_id: int, base: str,
             models[name] = getattr(star, name)(good) if name.startswith("dim_") else getattr(graph, name)(g)
         for name in EDGES:
             models[name] = getattr(graph, name)(g)
-        for name, df in models.items():
+
+        def write(name: str) -> str:
             try:
-                _write(df, f"{base}/{name}", batch_id)
-                status[name] = "ok"
+                _write(models[name], f"{base}/{name}", batch_id)
+                return "ok"
             except Exception as e:  # noqa: BLE001 - one model must not stop the others
                 log.warning("model %s failed for batch %s: %s", name, batch_id, e)
-                status[name] = str(e)
+                return str(e)
+
+        todo = [name for name in models if name not in done]
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            status = dict.fromkeys(models, "ok") | dict(zip(todo, pool.map(write, todo)))
+        if todo:
+            rows = [(name,) for name, what in status.items() if what == "ok"]
+            _write(spark.createDataFrame(rows, "model string").coalesce(1), f"{base}/ledger", batch_id)
     finally:
         checked.unpersist()
         batch.unpersist()

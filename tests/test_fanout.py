@@ -157,3 +157,24 @@ def test_summaries_from_batches_alone(spark, tables, tmpdir_path, monkeypatch):
         assert written == [last] or (name in ("summary_severity_daily", "summary_dest_port_daily") and not written), name
     assert set(incremental.refresh_all(dims, facts, base, 9).values()) == {"ok"}  # nothing new
     check(3)
+
+
+def test_replay_writes_only_what_failed(spark, tables, tmpdir_path, monkeypatch):
+    events, write, tried = tables["events"].limit(200).persist(), fanout._write, []
+
+    def failing(df, path, batch_id):
+        tried.append(os.path.basename(path))
+        if tried[-1] in broken:
+            raise OSError("disk gone")
+        write(df, path, batch_id)
+    monkeypatch.setattr(fanout, "_write", failing)
+    broken = {"documents", "e_attacked"}
+    status = fanout.write_models(events, 4, tmpdir_path)
+    assert {n for n, s in status.items() if s != "ok"} == broken and len(tried) == len(status) + 1
+    assert fanout.written_models(spark, tmpdir_path, 4) == set(status) - broken
+    broken, before = set(), list(tried)
+    status = fanout.write_models(events, 4, tmpdir_path)
+    assert set(status.values()) == {"ok"} and sorted(tried[len(before):]) == ["documents", "e_attacked", "ledger"]
+    assert spark.read.parquet(f"{tmpdir_path}/documents").count() == spark.read.parquet(f"{tmpdir_path}/fact_network_event").count() == 200
+    assert set(fanout.write_models(events, 4, tmpdir_path).values()) == {"ok"} and len(tried) == len(before) + 3
+    assert len(fanout.written_models(spark, tmpdir_path, 5)) == 0
