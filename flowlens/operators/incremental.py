@@ -23,6 +23,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import scalars as S
 from ..session import read_or_none
@@ -132,13 +133,19 @@ def _commit(spark: SparkSession, base: str, name: str, days: list[dt.date], refr
 def _days(spark: SparkSession, base: str, name: str, versions: dict[dt.date, int]) -> DataFrame:
     """The rows of the given days, each from its refresh: a filter on the two
     partition columns, so no other folder is read."""
-    rows = spark.read.parquet(f"{base}/{name}")
+    schema = spark.read.parquet(f"{base}/schema/{name}").schema.add("refresh", T.IntegerType())
+    rows = spark.read.schema(schema).parquet(f"{base}/{name}")
     named = [f"{refresh}/{day.isoformat()}" for day, refresh in versions.items()]
     return rows.filter(F.concat_ws("/", F.col("refresh").cast("string"), F.col("day").cast("string")).isin(named)).drop("refresh")
 
 
-def _write(df: DataFrame, path: str, refresh: int) -> None:
-    df.write.mode("overwrite").partitionBy("day").parquet(f"{path}/refresh={refresh}")
+def _write(df: DataFrame, base: str, name: str, refresh: int) -> None:
+    """The columns are kept apart: a table without rows yet (no attack has come
+    in) has no file to read them from."""
+    spark = df.sparkSession
+    if read_or_none(spark, f"{base}/schema/{name}") is None:
+        spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{base}/schema/{name}")
+    df.write.mode("overwrite").partitionBy("day").parquet(f"{base}/{name}/refresh={refresh}")
 
 
 def refresh_all(t: dict[str, DataFrame], batches: DataFrame, base: str, refresh: int) -> dict[str, str]:
@@ -158,7 +165,7 @@ def refresh_all(t: dict[str, DataFrame], batches: DataFrame, base: str, refresh:
         for name, part in partial_states(fresh).items():
             if old:
                 part = merge_states(_days(spark, base, f"states/{name}", old).select(*part.columns), part, name)
-            _write(part, f"{base}/states/{name}", refresh)
+            _write(part, base, f"states/{name}", refresh)
         _commit(spark, base, "states", days, refresh)
         states |= dict.fromkeys(days, refresh)
     status = {}
@@ -168,7 +175,7 @@ def refresh_all(t: dict[str, DataFrame], batches: DataFrame, base: str, refresh:
         try:
             if due:
                 merged = _Lazy(spark, base, due)
-                _write(build(merged, t), f"{base}/{name}", refresh)
+                _write(build(merged, t), base, name, refresh)
                 _commit(spark, base, name, list(due), refresh)
             status[name] = "ok"
         except Exception as e:  # noqa: BLE001 - one summary must not stop the others

@@ -178,3 +178,15 @@ def test_replay_writes_only_what_failed(spark, tables, tmpdir_path, monkeypatch)
     assert spark.read.parquet(f"{tmpdir_path}/documents").count() == spark.read.parquet(f"{tmpdir_path}/fact_network_event").count() == 200
     assert set(fanout.write_models(events, 4, tmpdir_path).values()) == {"ok"} and len(tried) == len(before) + 3
     assert len(fanout.written_models(spark, tmpdir_path, 5)) == 0
+
+
+def test_summaries_before_the_first_attack(spark, tables, tmpdir_path):
+    fact = tables["fact_network_event"]
+    facts = fact.withColumn("batch_id", F.when(F.col("is_attack"), 1).otherwise(0)).persist()
+    dims = {n: tables[n] for n in ("dim_source", "dim_attack", "dim_protocol")}
+    for batch in range(2):
+        assert set(incremental.refresh_all(dims, facts, tmpdir_path, batch).values()) == {"ok"}
+        want = dict(tables, fact_network_event=facts.filter(F.col("batch_id") <= batch).drop("batch_id"), dim_destination=tables["dim_destination"])
+        for name in ("summary_dest_port_daily", "summary_severity_daily", "summary_protocol_daily"):
+            one = summaries.BUILDERS[name](want)
+            assert rows_text(incremental.current_summary(spark, tmpdir_path, name).select(*one.columns)) == rows_text(one), (name, batch)
