@@ -500,6 +500,7 @@ FROM (VALUES {shape}) s(ordinal, column_name, data_type)"""
     b["q2_g_day"] = f"SELECT * FROM ({b['q2_g']}) WHERE starts_with(hour_bucket, '{L.SAMPLE_DAY}')"
     # ------------------------------------------------------------ messages and logs
     b["message_round_trip"] = f"SELECT * REPLACE (date_trunc('second', timestamp) AS timestamp) FROM ({b['clean_flows'].replace('FROM flows', 'FROM ev')})"
+    b["csv_round_trip"] = f"SELECT * EXCLUDE (event_id) REPLACE (date_trunc('second', timestamp) AS timestamp) FROM ({b['clean_flows']})"
     level = "CASE WHEN label_raw IS NULL THEN 'JUNK' WHEN label_raw = 'BENIGN' THEN 'INFO' ELSE 'WARNING' END"
     parts = f"""SELECT strftime(CAST(ts_raw AS TIMESTAMP), '%Y-%m-%d %H:%M:%S,%g') AS timestamp,
   'port-' || dst_port AS service, {level} AS level, 'flows' AS logger, 'flow ' || event_id AS message, event_id AS line_no FROM raw"""

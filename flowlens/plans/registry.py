@@ -141,6 +141,18 @@ def _message_round_trip(t) -> DataFrame:
     return M.good_events(M.parse_messages(M.to_message(t["events"]), "value", "event_id"))
 
 
+def _csv_round_trip(t) -> DataFrame:
+    """Every raw flow written to CSV files, half of them in each dialect, read
+    again and cleaned.  Arrival ids are places in files and are left out."""
+    from ..operators import clean
+    from ..sources import csv as V
+    raw, odd = t["raw_flows"], F.pmod("event_id", F.lit(2)) == 1
+    folder = scratch_path(raw.sparkSession, f"flow-files-{uuid.uuid4().hex[:12]}")
+    V.write_flows(raw.filter(odd), folder, "standard")
+    V.write_flows(raw.filter(~odd), folder, "decimal")
+    return clean.clean_flows(V.read_flows(raw.sparkSession, folder)).drop("event_id")
+
+
 def _log_lines(t) -> DataFrame:
     """Log lines of the raw flows, a service for each destination port; flows
     without a label give lines that are no log records."""
@@ -191,6 +203,7 @@ def registry() -> dict[str, Callable]:
     r["unique_sources_daily"] = _unique_sources
     r["audit_keys"] = _audit
     r["message_round_trip"] = _message_round_trip
+    r["csv_round_trip"] = _csv_round_trip
     for fn in (logs.parse_logs, logs.tail_per_service, logs.merged_logs, logs.log_level_counts):
         r[fn.__name__] = (lambda f: lambda t: f(_log_lines(t)))(fn)
     r.update(D.registry())

@@ -82,6 +82,41 @@ def test_line_numbers_distributed(spark, tmpdir_path):
     assert all(r.line_no == r.d for r in got) and len(got) == 5000
 
 
+def test_headers_of_many_files_in_one_job(spark, tmpdir_path):
+    """As many jobs for forty files as for two; an empty file is passed over."""
+    sc, jobs = spark.sparkContext, {}
+    for n in (2, 40):
+        folder = os.path.join(tmpdir_path, str(n))
+        os.mkdir(folder)
+        open(os.path.join(folder, "empty.csv"), "w").close()
+        for i in range(n):
+            head, address = (STD, "1.1.1.1") if i % 2 else (ALT, "16843009")
+            with open(os.path.join(folder, f"f{i:02d}.csv"), "w") as f:
+                f.write(f"{head}\n{address},1,{address},80,6,3/7/2017 8:42,{i},1,1,5,6,1.0,1.0,BENIGN\n")
+        sc.setJobGroup(f"headers-{n}", "")
+        raw = C.read_flows(spark, folder)
+        jobs[n] = len(sc.statusTracker().getJobIdsForGroup(f"headers-{n}"))
+        sc.setJobGroup("rest", "")
+        got = clean.clean_flows(raw).orderBy("event_id").collect()
+        assert [(r.flow_duration, r.source_ip) for r in got] == [(i, "1.1.1.1") for i in range(n)]
+    assert jobs[2] == jobs[40] <= 3
+
+
+def test_written_flows_are_read_again(spark, tmpdir_path):
+    stamp = datetime.datetime(2017, 7, 3, 8, 42, 5)
+    kinds = "src_ip_raw bigint, src_port int, dst_ip_raw bigint, dst_port int, protocol_raw string, ts_raw timestamp_ntz, " \
+            "flow_duration bigint, fwd_packets int, bwd_packets int, fwd_bytes bigint, bwd_bytes bigint, " \
+            "flow_bytes_per_sec double, flow_packets_per_sec double, label_raw string"
+    rows = [(16843009, 70000, 0, 80, "x", stamp, 5, 1, 2, 3, 4, float("inf"), 0.1, "a, \"b\" c"),
+            (4294967295, 1, 16843009, 80, None, stamp, 6, 1, 2, 3, 4, 1e-7, 1e300, "BENIGN")]
+    raw = spark.createDataFrame(rows, kinds)
+    want = clean.clean_flows(raw.withColumn("event_id", F.lit(0)), ip_format="decimal").drop("event_id")
+    for dialect in C.DIALECTS:
+        C.write_flows(raw, f"{tmpdir_path}/{dialect}", dialect)
+        got = clean.clean_flows(C.read_flows(spark, f"{tmpdir_path}/{dialect}")).drop("event_id")
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), dialect
+
+
 def test_messages_sentinel_and_dead_letters(spark, tmpdir_path):
     p = os.path.join(tmpdir_path, "events.jsonl")
     good = ('{"source_ip":"1.1.1.1","source_port":1,"destination_ip":"2.2.2.2","destination_port":80,'
