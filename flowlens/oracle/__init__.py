@@ -501,6 +501,13 @@ FROM (VALUES {shape}) s(ordinal, column_name, data_type)"""
     # ------------------------------------------------------------ messages and logs
     b["message_round_trip"] = f"SELECT * REPLACE (date_trunc('second', timestamp) AS timestamp) FROM ({b['clean_flows'].replace('FROM flows', 'FROM ev')})"
     b["csv_round_trip"] = f"SELECT * EXCLUDE (event_id) REPLACE (date_trunc('second', timestamp) AS timestamp) FROM ({b['clean_flows']})"
+    counts = {"parse_dead_letters": "1", "dead_letters": "1", "fact_network_event": "1", "documents": "1", "doc_hourly_summary": "event_count",
+              **{n: "count" for n in ("e_attacked", "e_used_attack", "e_targeted_by", "e_used_protocol")}, "e_active_in": "event_count",
+              **dict.fromkeys((n for n in b if n in ("dim_time", "dim_source", "dim_destination", "dim_attack", "dim_protocol", "v_source_ip",
+                                                     "v_destination_ip", "v_attack_type", "v_protocol", "v_time_window")), "NULL")}
+    body = {"parse_dead_letters": "SELECT * FROM raw WHERE label_raw IS NULL", "dead_letters": b["validate_flow"], "documents": b["flow_document"]}
+    b["fanout_counts"] = "\nUNION ALL ".join(
+        f"SELECT '{n}' AS model, COUNT(*) AS n_rows, CAST(SUM({c}) AS BIGINT) AS n_events FROM ({body.get(n) or b[n]})" for n, c in counts.items())
     level = "CASE WHEN label_raw IS NULL THEN 'JUNK' WHEN label_raw = 'BENIGN' THEN 'INFO' ELSE 'WARNING' END"
     parts = f"""SELECT strftime(CAST(ts_raw AS TIMESTAMP), '%Y-%m-%d %H:%M:%S,%g') AS timestamp,
   'port-' || dst_port AS service, {level} AS level, 'flows' AS logger, 'flow ' || event_id AS message, event_id AS line_no FROM raw"""

@@ -16,13 +16,18 @@ from ..functions import scalars as S
 from ..streaming.aggregates import EVENT_SCHEMA
 
 MESSAGE_SCHEMA = T.StructType(EVENT_SCHEMA.fields + [
-    T.StructField("_sentinel", T.StringType()), T.StructField("total_records", T.LongType())])
+    T.StructField("_sentinel", T.StringType()), T.StructField("total_records", T.LongType()),
+    T.StructField("message_id", T.StringType())])
 
 
-def to_message(events: DataFrame) -> DataFrame:
-    """Events -> JSON text (ISO timestamps), the published form."""
+def to_message(events: DataFrame, key: str | None = None) -> DataFrame:
+    """Events -> JSON text (ISO timestamps), the published form.  ``key`` is a
+    column that tells the publisher's messages apart; it is sent as
+    ``message_id``, by which :func:`counted_once` knows a message sent again."""
     cols = [c for c in EVENT_SCHEMA.fieldNames()]
     ev = events.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss"))
+    if key is not None:
+        cols.append(F.col(key).cast("string").alias("message_id"))
     return ev.select("event_id", F.to_json(F.struct(*cols)).alias("value"))
 
 
@@ -40,7 +45,7 @@ def parse_messages(lines: DataFrame, value_col: str = "value", seq_col: str | No
     out = df.filter(~F.coalesce(is_sentinel, F.lit(False))).select(
         *( [F.col(seq_col).alias("event_id")] if seq_col else
            [F.lit(None).cast("bigint").alias("event_id")]),
-        F.col(value_col).alias("value"),
+        F.col(value_col).alias("value"), F.col("m.message_id").alias("message_id"),
         *[F.col(f"m.{f}").alias(f) for f in EVENT_SCHEMA.fieldNames() if f != "timestamp"],
         S.iso_parse(F.col("m.timestamp")).alias("timestamp"),
         err.alias("_parse_error"))
@@ -82,11 +87,11 @@ def good_events(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("_parse_error").isNull()).select(*EVENT_COLUMNS)
 
 
-def write_messages(events: DataFrame, path: str) -> None:
+def write_messages(events: DataFrame, path: str, key: str | None = None) -> None:
     """Publish cleaned events as JSON lines (sorted by time within each
     partition, as the producer sorts each chunk)."""
     from ..operators.clean import sort_chunk
-    to_message(sort_chunk(events)).select("value").write.mode("overwrite").text(path)
+    to_message(sort_chunk(events), key).select("value").write.mode("overwrite").text(path)
 
 
 def stream_messages(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None):
@@ -98,3 +103,19 @@ def stream_messages(spark: SparkSession, directory: str, max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = r.load(directory)
     return parse_messages(lines, "value")
+
+
+def counted_once(parsed: DataFrame, horizon: str = "1 day") -> DataFrame:
+    """A message stream without messages sent again: of those with one
+    ``message_id`` that arrive within ``horizon`` of the first, the first stays.
+
+    The horizon is by arrival (the micro-batch's time, which a replay keeps), not
+    by event time, so no message is ever late; one sent again after the horizon
+    counts as new.  Lines without an id, broken ones among them, all stay.  The
+    state holds the ids of one horizon, in RocksDB (set for the session's streams),
+    and is restored from the checkpoint.
+    """
+    parsed.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass",
+                                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    named = parsed.withColumns({"_arrived": F.current_timestamp(), "_id": F.coalesce("message_id", F.concat(F.lit("-"), F.uuid()))})
+    return named.withWatermark("_arrived", horizon).dropDuplicatesWithinWatermark(["_id"]).drop("_arrived", "_id")

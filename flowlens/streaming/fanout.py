@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import logging
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,7 +32,9 @@ FIRST_WINS = {
     "v_source_ip": "ip", "v_destination_ip": "ip", "v_attack_type": "label", "v_protocol": "name",
     "v_time_window": "hour_bucket",
 }
-EDGES = ("e_attacked", "e_used_attack", "e_targeted_by", "e_used_protocol", "e_active_in")
+#: Additive edge sets and the key of each.
+EDGES = {"e_attacked": ["src_ip", "dst_ip"], "e_used_attack": ["src_ip", "label"], "e_targeted_by": ["dst_ip", "label"],
+         "e_used_protocol": ["src_ip", "protocol"], "e_active_in": ["label", "hour_bucket"]}
 
 
 def _write(df: DataFrame, path: str, batch_id: int) -> None:
@@ -150,6 +153,26 @@ def merged_hourly_documents(spark, base: str) -> DataFrame:
     return upsert.merge_hourly_documents(parts.limit(0), parts)
 
 
+def model_counts(spark, base: str) -> DataFrame:
+    """(model, n_rows, n_events) of every model, all batches merged: its rows and
+    the events that they stand for (null for dimensions and vertices)."""
+    def merged(name: str) -> DataFrame | None:
+        if name in FIRST_WINS:
+            return merged_first(spark, base, name)
+        if name in EDGES:
+            return merged_edges(spark, base, name, EDGES[name])
+        return merged_hourly_documents(spark, base) if name == "doc_hourly_summary" else read_or_none(spark, f"{base}/{name}")
+
+    def counted(name: str, rows: DataFrame) -> DataFrame:
+        held = [c for c in ("count", "event_count") if c in rows.columns]
+        events = F.lit(None) if name in FIRST_WINS else F.coalesce(F.sum(held[0]), F.lit(0)) if held else F.count(F.lit(1))
+        return rows.agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_rows"), events.cast("bigint").alias("n_events"))
+
+    names = ["parse_dead_letters", "dead_letters", "fact_network_event", "documents", "doc_hourly_summary", *FIRST_WINS, *EDGES]
+    found = [(name, merged(name)) for name in names]
+    return reduce(DataFrame.unionByName, [counted(name, rows) for name, rows in found if rows is not None])
+
+
 def refresh_summaries(spark, base: str, refresh: int) -> dict[str, str]:
     """Bring the six summaries up to the batches up to ``refresh``: only the
     facts of new batches and the states of the days they touch are read.  A

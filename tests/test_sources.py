@@ -149,6 +149,33 @@ def test_message_stream(spark, tables, tmpdir_path):
     assert [r.value for r in spark.read.parquet(f"{base}/parse_dead_letters").collect()] == ["{broken json"]
 
 
+def test_messages_sent_again_count_once(spark, tables, tmpdir_path):
+    """Every message sent twice, into different batches and over a restart; equal
+    flows with ids of their own, messages without an id and broken lines stay."""
+    from flowlens.streaming import fanout
+    source, base = f"{tmpdir_path}/in", f"{tmpdir_path}/out"
+    events = tables["events"].limit(300).persist()
+    equal = events.limit(1).withColumn("event_id", F.lit(-1).cast("bigint"))  # another flow of the same values
+    keyed = M.to_message(events.unionByName(equal), "event_id").select("value").coalesce(2).persist()
+    plain = M.to_message(equal).select("value").coalesce(1)
+
+    def run():
+        stream = M.counted_once(M.stream_messages(spark, source, 2), "2 hours")
+        fanout.fanout_stream(stream, base, f"{tmpdir_path}/cp").trigger(availableNow=True).start().awaitTermination()
+        return spark.read.parquet(f"{base}/fact_network_event").count()
+
+    keyed.write.mode("append").text(source)
+    keyed.write.mode("append").text(source)
+    assert run() == 301
+    keyed.write.mode("append").text(source)
+    plain.unionByName(plain).coalesce(1).write.mode("append").text(source)
+    spark.createDataFrame([("{broken",), ("{broken",)], "value string").coalesce(1).write.mode("append").text(source)
+    assert run() == 303 and spark.read.parquet(f"{base}/parse_dead_letters").count() == 2
+    counts = {r.model: (r.n_rows, r.n_events) for r in fanout.model_counts(spark, base).collect()}
+    assert counts["documents"] == (303, 303) and counts["e_attacked"][1] == counts["doc_hourly_summary"][1] == 303
+    assert counts["dim_source"] == (events.select("source_ip", "source_port").distinct().count(), None)
+
+
 def test_logs(spark, tmpdir_path):
     with open(os.path.join(tmpdir_path, "producer.log"), "w") as f:
         for i in range(10):
