@@ -495,7 +495,7 @@ FROM (VALUES {shape}) s(ordinal, column_name, data_type)"""
         "WHERE x IS NOT NULL AND isfinite(x)" for c in numbers)
     # ------------------------------------------------------------ one day of Q2
     day = f"CAST(hour_bucket AS DATE) = DATE '{L.SAMPLE_DAY}'"
-    for name in ("q2_s", "q2_f", "q2_ds"):
+    for name in ("q2_s", "q2_f", "q2_d", "q2_ds"):
         b[f"{name}_day"] = f"SELECT * FROM ({b[name]}) WHERE {day}"
     b["q2_g_day"] = f"SELECT * FROM ({b['q2_g']}) WHERE starts_with(hour_bucket, '{L.SAMPLE_DAY}')"
     # ------------------------------------------------------------ messages and logs

@@ -99,6 +99,32 @@ PARTITION_BY = {
     "summary_dest_port_daily": "day_bucket",
 }
 
+DAY = "_day"  # partition column of the tables of events, kept out of their schema
+
+#: Tables of events are partitioned by day and in time order inside, a busy day in
+#: several files: (day, order, columns with a bloom filter).
+BY_DAY = {
+    "fact_network_event": (lambda: summaries.day_of_key(), "time_key", ["source_key", "dest_key"]),
+    "documents": (lambda: F.to_date("timestamp"), "timestamp", ["source.ip", "destination.ip"]),
+}
+
+#: Hourly summaries have some thousand rows a year: too few for a file a day, so
+#: they are only put in order, by which row groups are skipped.
+IN_ORDER = {"summary_attack_hourly": "hour_bucket", "doc_hourly_summary": "hour_bucket"}
+
+
+def _writer(df: DataFrame, name: str):
+    """The writer of a table in its stored layout."""
+    if name in IN_ORDER:
+        df = df.repartitionByRange(IN_ORDER[name]).sortWithinPartitions(IN_ORDER[name])
+    if name not in BY_DAY:
+        return df.write.partitionBy(PARTITION_BY[name]) if name in PARTITION_BY else df.write
+    day, order, looked_up = BY_DAY[name]
+    w = df.withColumn(DAY, day()).repartitionByRange(DAY, order).sortWithinPartitions(DAY, order).write.partitionBy(DAY)
+    for col in looked_up:
+        w = w.option(f"parquet.bloom.filter.enabled#{col}", "true")
+    return w.option("parquet.bloom.filter.adaptive.enabled", "true")
+
 
 def write_tables(t: Tables, path: str, names: list[str] | None = None, parallel: int = 4) -> None:
     """Materialise tables as parquet under ``path`` (overwrite).
@@ -127,10 +153,7 @@ def write_tables(t: Tables, path: str, names: list[str] | None = None, parallel:
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
         futures = []
         for name, df in todo:
-            w = df.write.mode("overwrite")
-            if name in PARTITION_BY:
-                w = w.partitionBy(PARTITION_BY[name])
-            futures.append(pool.submit(w.parquet, f"{path}/{name}"))
+            futures.append(pool.submit(_writer(df, name).mode("overwrite").parquet, f"{path}/{name}"))
         for f in futures:
             f.result()
 
@@ -139,15 +162,20 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     """One stored table.  ``flow_events`` (all cleaned rows), ``events`` and
     ``rejected`` are views of the one table of checked events."""
     if name not in ("flow_events", "events", "rejected"):
-        return spark.read.parquet(f"{path}/{name}")
+        return spark.read.parquet(f"{path}/{name}").drop(DAY)
     checked = spark.read.parquet(f"{path}/{CHECKED}")
     if name == "rejected":
         return checked.filter(F.col("_error").isNotNull()).select("event_id", "source_ip", "label", "_error")
     return (checked.filter(F.col("_error").isNull()) if name == "events" else checked).drop("_error")
 
 
-def read_tables(spark: SparkSession, path: str, names: list[str] | None = None) -> dict:
-    return {name: read_table(spark, path, name) for name in names or MODEL_ORDER}
+def read_tables(spark: SparkSession, path: str, names: list[str] | None = None) -> Tables:
+    """Stored tables; ``by_day`` holds those partitioned by day with that column,
+    by which a query of one day reads that day's files alone."""
+    t = Tables({})
+    t.update({name: read_table(spark, path, name) for name in names or MODEL_ORDER})
+    t.by_day = {name: spark.read.parquet(f"{path}/{name}") for name in BY_DAY if name in t}
+    return t
 
 
 _STORED: dict = {}
@@ -169,8 +197,9 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> Tables:
         write_tables(lazy, path)
         st = tables_from_events(read_table(spark, path, "events"), validated=True,
                                 raw=lazy["raw_flows"])
-        for name in ["flow_events", *MODEL_ORDER]:
-            st[name] = read_table(spark, path, name)
+        stored = read_tables(spark, path, ["flow_events", *MODEL_ORDER])
+        st.update(stored)
+        st.by_day = stored.by_day
         st["raw_flows"] = lazy["raw_flows"]
         _STORED[key] = st
     return _STORED[key]

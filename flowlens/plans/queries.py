@@ -34,6 +34,15 @@ def _date_range(col: str, target_date: str | None):
     return (F.col(col) >= F.lit(lo).cast("timestamp_ntz")) & (F.col(col) < F.lit(hi).cast("timestamp_ntz"))
 
 
+def _one_day(t, name: str, target_date: str | None, in_day):
+    """The rows of ``target_date`` (all rows without one): the day's partition of
+    a stored table, else by the condition ``in_day``."""
+    stored = getattr(t, "by_day", {}).get(name)
+    if target_date and stored is not None:
+        return stored.filter(F.col("_day") == F.lit(_dt.date.fromisoformat(str(target_date)))).drop("_day")
+    return t[name].filter(in_day)
+
+
 def _attack_dim(t, *cols):
     return t["dim_attack"].select("attack_key", *cols)
 
@@ -165,7 +174,7 @@ def _key_range(target_date: str | None):
 
 
 def q2_f(t, target_date: str | None = None):
-    f = _fact(t).filter(F.col("is_attack") & _key_range(target_date))
+    f = _one_day(t, "fact_network_event", target_date, _key_range(target_date)).filter("is_attack")
     f = f.withColumn("hour_bucket", hour_of_key())
     agg = f.groupBy("hour_bucket", "attack_key").agg(F.count(F.lit(1)).alias("n"))
     return (agg.join(_attack_dim(t, "attack_category"), "attack_key")
@@ -315,8 +324,9 @@ def q1_ds(t):
             .orderBy(F.desc("total_events"), "attack_category"))
 
 
-def q2_d(t):
-    return (_docs(t).filter(_attack_doc())
+def q2_d(t, target_date: str | None = None):
+    docs = _one_day(t, "documents", target_date, _date_range("timestamp", target_date))
+    return (docs.filter(_attack_doc())
             .groupBy(S.trunc_ntz("hour", "timestamp").alias("hour_bucket"),
                      F.col("attack.category").alias("attack_category"))
             .agg(F.count(F.lit(1)).alias("event_count"))

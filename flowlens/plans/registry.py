@@ -214,7 +214,7 @@ def registry() -> dict[str, Callable]:
                Q.q10_g, Q.q11_g, Q.q12_g, Q.top_attacked_destinations):
         r[fn.__name__] = fn
     r["q8_f"] = lambda t: C.decimals_to_double(Q.q8_f(t))
-    for fn in (Q.q2_s, Q.q2_f, Q.q2_ds, Q.q2_g):
+    for fn in (Q.q2_s, Q.q2_f, Q.q2_d, Q.q2_ds, Q.q2_g):
         r[f"{fn.__name__}_day"] = (lambda f: lambda t: f(t, L.SAMPLE_DAY))(fn)
     r["surrogate_key"] = lambda t: _source_serials(t).select("source_ip", "source_port", "first_arrival", "serial")
     r["unique_sources_daily"] = _unique_sources
