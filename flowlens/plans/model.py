@@ -9,7 +9,7 @@ folder) and read them back with ``read_tables``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean, graph, nested, star, summaries, validate
@@ -80,10 +80,11 @@ def tables_from_events(flow_events: DataFrame, trusted_lookups: bool = False,
     return tables
 
 
-def build_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """Every model derived from ``{sf_dir}/events.parquet`` via the adapter."""
+def build_tables(spark: SparkSession, sf_dir: str, observations: tuple[Observation, Observation] | None = None) -> Tables:
+    """Every model derived from ``{sf_dir}/events.parquet`` via the adapter.
+    ``observations`` count the rows before and after cleaning."""
     raw = adapter.raw_flows(spark, sf_dir)
-    return tables_from_events(clean.clean_flows(raw, ip_format="decimal"), trusted_lookups=True,
+    return tables_from_events(clean.clean_flows(raw, ip_format="decimal", observations=observations), trusted_lookups=True,
                               raw=raw)
 
 
@@ -192,7 +193,8 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> Tables:
     key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf_dir)
     if key not in _STORED:
         import uuid
-        lazy = build_tables(spark, sf_dir)
+        seen = Observation(), Observation()
+        lazy = build_tables(spark, sf_dir, seen)
         path = scratch_path(spark, f"warehouse-{uuid.uuid4().hex[:12]}")
         write_tables(lazy, path)
         st = tables_from_events(read_table(spark, path, "events"), validated=True,
@@ -200,6 +202,7 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> Tables:
         stored = read_tables(spark, path, ["flow_events", *MODEL_ORDER])
         st.update(stored)
         st.by_day = stored.by_day
+        st.cleaning = clean.clean_stats(seen)
         st["raw_flows"] = lazy["raw_flows"]
         _STORED[key] = st
     return _STORED[key]
