@@ -508,6 +508,8 @@ FROM (VALUES {shape}) s(ordinal, column_name, data_type)"""
     body = {"parse_dead_letters": "SELECT * FROM raw WHERE label_raw IS NULL", "dead_letters": b["validate_flow"], "documents": b["flow_document"]}
     b["fanout_counts"] = "\nUNION ALL ".join(
         f"SELECT '{n}' AS model, COUNT(*) AS n_rows, CAST(SUM({c}) AS BIGINT) AS n_events FROM ({body.get(n) or b[n]})" for n, c in counts.items())
+    b["upsert_dim_stream"] = "\nUNION ALL ".join(
+        f"SELECT '{n}' AS model, COUNT(*) AS n_rows, COUNT(*) AS n_keys FROM ({b[n]})" for n in counts if n.startswith(("dim_", "v_")))
     each = "CAST(COUNT(*) AS BIGINT) AS n_events_{m}, CAST(SUM({s}) AS BIGINT) AS total_bytes_{m}"
     b["reconcile_events"] = "\nUNION ALL ".join(
         f"SELECT '{v}' AS view, " + ", ".join(each.format(m=m, s="fwd_bytes + bwd_bytes" if v == "e_attacked" else "0") for m in ("star", "document", "graph"))

@@ -71,6 +71,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}"
 
 
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Streams started from here on keep their state in RocksDB, off the heap."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+
+
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """A written table, or None where nothing has been written yet."""
     try:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import lookups as L
 from ..functions import scalars as S
+from ..session import keep_state_on_disk
 from ..streaming.aggregates import EVENT_SCHEMA
 
 MESSAGE_SCHEMA = T.StructType(EVENT_SCHEMA.fields + [
@@ -115,7 +116,6 @@ def counted_once(parsed: DataFrame, horizon: str = "1 day") -> DataFrame:
     state holds the ids of one horizon, in RocksDB (set for the session's streams),
     and is restored from the checkpoint.
     """
-    parsed.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass",
-                                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    keep_state_on_disk(parsed.sparkSession)
     named = parsed.withColumns({"_arrived": F.current_timestamp(), "_id": F.coalesce("message_id", F.concat(F.lit("-"), F.uuid()))})
     return named.withWatermark("_arrived", horizon).dropDuplicatesWithinWatermark(["_id"]).drop("_arrived", "_id")

@@ -7,21 +7,26 @@ write does not stop the others; a ledger keeps what each batch has written, so
 the replay writes only what failed.
 
 Facts, documents and dead letters of all batches simply add up.  Dimensions
-and vertices are first-write-wins (``merged_first``), edges and the hourly
-document summary are additive (``merged_edges``, ``merged_hourly_documents``).
+and vertices are first-write-wins: the stream's state knows the keys that have
+come in before, and a batch writes the others only (``unseen_keys``), so their
+parts hold each key once.  Edges and the hourly document summary are additive
+(``merged_edges``, ``merged_hourly_documents``).
 """
 
 from __future__ import annotations
 
 import logging
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import lookups as L
 from ..operators import graph, incremental, nested, star, summaries, upsert, validate
-from ..session import read_or_none
+from ..session import keep_state_on_disk, read_or_none
 
 log = logging.getLogger(__name__)
 
@@ -37,6 +42,56 @@ EDGES = {"e_attacked": ["src_ip", "dst_ip"], "e_used_attack": ["src_ip", "label"
          "e_used_protocol": ["src_ip", "protocol"], "e_active_in": ["label", "hour_bucket"]}
 
 
+#: Seed rows of the dimensions that have some: their column and its seeds.
+SEEDS = {"dim_attack": ("attack_label", [row[0] for row in L.ATTACK_SEEDS]),
+         "dim_protocol": ("protocol_name", [row[0] for row in L.PROTOCOL_SEEDS])}
+
+
+def _model_keys() -> dict[str, F.Column]:
+    """The key that a valid event has in each first-write-wins model."""
+    return {
+        "dim_time": star.time_key(), "dim_source": star.source_key(), "dim_destination": star.dest_key(),
+        "dim_attack": star.attack_key(), "dim_protocol": star.protocol_key(),
+        "v_source_ip": F.col("source_ip"), "v_destination_ip": F.col("destination_ip"), "v_attack_type": F.col("label"),
+        "v_protocol": F.coalesce("protocol", F.lit("OTHER")), "v_time_window": graph.hour_text("timestamp"),
+    }
+
+
+def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        yield from rows.group_by(rows.column_names).aggregate([]).select(rows.column_names).to_batches()
+
+
+def unseen_keys(events: DataFrame, trusted_lookups: bool = False) -> DataFrame:
+    """(_model, _key) of an event stream: the keys of each first-write-wins model
+    that no earlier micro-batch has had, told once.
+
+    Only valid events count, as only they are written.  Keys are made distinct in
+    each Arrow batch before they are shuffled, so a label of a third of all events
+    ships a row for each of its Arrow batches.  The state holds every key of these models
+    for good, in RocksDB, and is restored from the checkpoint: a replayed batch is
+    told the same keys again.
+    """
+    keep_state_on_disk(events.sparkSession)
+    if "_parse_error" in events.columns:
+        events = events.filter(F.col("_parse_error").isNull())
+    held = F.explode(F.array(*[F.struct(F.lit(name).alias("_model"), key.cast("string").alias("_key"))
+                               for name, key in _model_keys().items()])).alias("k")
+    keys = validate.valid_events(events, trusted_lookups).select(held).select("k.*")
+    return keys.mapInArrow(_distinct, "_model string, _key string").dropDuplicates(["_model", "_key"])
+
+
+def _unwritten(rows: DataFrame, name: str, unseen: DataFrame) -> DataFrame:
+    """The rows of a first-write-wins model whose keys are among ``unseen``.  Seeds
+    were written with the first batch."""
+    if name in SEEDS:
+        col, seeds = SEEDS[name]
+        rows = rows.filter(F.col(col).isNull() | ~F.col(col).isin(seeds))
+    new = unseen.filter(F.col("_model") == name).select("_key")
+    return rows.join(new, rows[FIRST_WINS[name]].cast("string") == new["_key"], "left_semi")
+
+
 def _write(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
@@ -47,8 +102,8 @@ def written_models(spark, base: str, batch_id: int) -> set[str]:
     return set() if rows is None else {r["model"] for r in rows.collect()}
 
 
-def write_models(batch: DataFrame, batch_id: int, base: str,
-                 trusted_lookups: bool = False, parallel: int = 4) -> dict[str, str]:
+def write_models(batch: DataFrame, batch_id: int, base: str, trusted_lookups: bool = False, parallel: int = 4,
+                 unseen: DataFrame | None = None) -> dict[str, str]:
     """Write every model of one batch: dead letters, fact, dimensions,
     documents and their hourly summary, vertices and edges.  Returns
     {model: 'ok' | error text}.
@@ -57,6 +112,10 @@ def write_models(batch: DataFrame, batch_id: int, base: str,
     A ledger under ``base/ledger`` keeps which models a batch has written, so a
     replay writes only those that failed (all of them, over what is there, if
     the driver was lost before the ledger was written).
+
+    ``unseen`` (see ``unseen_keys``) limits dimensions and vertices to the keys
+    that it tells; the stream's first batch, 0, has no others.  Without it they
+    are written whole with every batch.
     """
     spark = batch.sparkSession
     done = written_models(spark, base, batch_id)
@@ -75,7 +134,8 @@ def write_models(batch: DataFrame, batch_id: int, base: str,
             "doc_hourly_summary": nested.hourly_document_summary(docs),
         }
         for name in FIRST_WINS:
-            models[name] = getattr(star, name)(good) if name.startswith("dim_") else getattr(graph, name)(g)
+            rows = getattr(star, name)(good) if name.startswith("dim_") else getattr(graph, name)(g)
+            models[name] = rows if unseen is None or batch_id == 0 else _unwritten(rows, name, unseen)
         for name in EDGES:
             models[name] = getattr(graph, name)(g)
 
@@ -105,23 +165,29 @@ def fanout_stream(events: DataFrame, base: str, checkpoint: str, trusted_lookups
     messages get their arrival ids here; lines that failed to parse are kept
     under ``parse_dead_letters``.  With a ``refresh`` policy the summaries are
     brought up to date under ``base/summaries`` whenever enough rows have come in; call
-    ``refresh_summaries`` once more when the stream has ended."""
+    ``refresh_summaries`` once more when the stream has ended.
+
+    A batch is the events and, as rows of their own, the keys that ``unseen_keys``
+    tells of them: one query with one checkpoint, for which Spark reads the source
+    twice.  ``base`` belongs to its checkpoint: begin both anew together."""
     from ..sources import messages
 
     def each(batch: DataFrame, batch_id: int):
-        parsed = batch.persist() if "_parse_error" in batch.columns else None
+        batch = batch.persist()
         try:
-            if parsed is not None:
-                batch = messages.sequenced(parsed, batch_id)
-                _write(messages.dead_letters(batch), f"{base}/parse_dead_letters", batch_id)
-                batch = messages.good_events(batch)
-            write(batch, batch_id)
+            unseen = batch.filter(F.col("_model").isNotNull()).select("_model", "_key")
+            rows = batch.filter(F.col("_model").isNull()).drop("_model", "_key")
+            if "_parse_error" in rows.columns:
+                rows = messages.sequenced(rows, batch_id)
+                _write(messages.dead_letters(rows), f"{base}/parse_dead_letters", batch_id)
+                rows = messages.good_events(rows)
+            write(rows, batch_id, unseen)
         finally:
-            if parsed is not None:
-                parsed.unpersist()
+            batch.unpersist()
 
-    def write(batch: DataFrame, batch_id: int):
-        failed = {k: v for k, v in write_models(batch, batch_id, base, trusted_lookups).items() if v != "ok"}
+    def write(batch: DataFrame, batch_id: int, unseen: DataFrame):
+        status = write_models(batch, batch_id, base, trusted_lookups, unseen=unseen)
+        failed = {k: v for k, v in status.items() if v != "ok"}
         if failed:  # the batch is replayed; writes are keyed by its id
             raise RuntimeError(f"batch {batch_id}: models not written: {failed}")
         if refresh is not None:
@@ -129,7 +195,8 @@ def fanout_stream(events: DataFrame, base: str, checkpoint: str, trusted_lookups
             written = spark.read.parquet(f"{base}/fact_network_event/batch_id={batch_id}").count()
             if refresh.add(written):
                 refresh_summaries(spark, base, batch_id)
-    return events.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
+    both = events.unionByName(unseen_keys(events, trusted_lookups), allowMissingColumns=True)
+    return both.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
 
 
 def merged_edges(spark, base: str, name: str, keys: list[str]) -> DataFrame:
@@ -173,6 +240,14 @@ def model_counts(spark, base: str) -> DataFrame:
     return reduce(DataFrame.unionByName, [counted(name, rows) for name, rows in found if rows is not None])
 
 
+def key_counts(spark, base: str) -> DataFrame:
+    """(model, n_rows, n_keys) of every first-write-wins model: the rows of all its
+    parts and their different keys, equal if no batch wrote a key again."""
+    return reduce(DataFrame.unionByName, [
+        spark.read.parquet(f"{base}/{name}").agg(F.lit(name).alias("model"), F.count(F.lit(1)).alias("n_rows"), F.countDistinct(key).alias("n_keys"))
+        for name, key in FIRST_WINS.items()])
+
+
 def refresh_summaries(spark, base: str, refresh: int) -> dict[str, str]:
     """Bring the six summaries up to the batches up to ``refresh``: only the
     facts of new batches and the states of the days they touch are read.  A

@@ -1,9 +1,13 @@
 """foreachBatch fan-out into every model, keyed change upserts and pull
 queries; replaying a batch id does not duplicate rows."""
+import collections
 import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from flowlens.functions import lookups as L
 from flowlens.operators import incremental, star, summaries, upsert
 from flowlens.streaming import aggregates as A
 from flowlens.streaming import fanout
@@ -190,3 +194,67 @@ def test_summaries_before_the_first_attack(spark, tables, tmpdir_path):
         for name in ("summary_dest_port_daily", "summary_severity_daily", "summary_protocol_daily"):
             one = summaries.BUILDERS[name](want)
             assert rows_text(incremental.current_summary(spark, tmpdir_path, name).select(*one.columns)) == rows_text(one), (name, batch)
+
+
+def _stream(spark, events, folder, base, files=1):
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files).parquet(f"{folder}/in")
+    return fanout.fanout_stream(source, base, f"{folder}/ck").trigger(availableNow=True).start()
+
+
+def test_a_key_is_written_once(spark, tables, tmpdir_path):
+    """Dimensions and vertices over a restarted stream of many batches: no key
+    twice, and the rows of all events; a key that a bad event had first is new."""
+    base, valid = f"{tmpdir_path}/wh", tables["events"].persist()
+    bad = valid.filter("event_id % 3 = 1").withColumn("source_port", F.lit(70000)).withColumn("event_id", F.col("event_id") - 10**9)
+    middle = valid.approxQuantile("event_id", [0.5], 0)[0]
+    late = F.col("event_id") > middle
+    for part in (bad.unionByName(valid.filter(~late & (F.col("event_id") % 2 == 0))), valid.filter(~late & (F.col("event_id") % 2 == 1)), valid.filter(late)):
+        part.coalesce(1).write.mode("append").parquet(f"{tmpdir_path}/in")  # a file each; the stream starts again for it
+        _stream(spark, valid, tmpdir_path, base).awaitTermination()
+    facts = spark.read.parquet(f"{base}/fact_network_event")
+    assert facts.select("batch_id").distinct().count() == 3 and facts.count() == valid.count()
+    from flowlens.plans import model
+    arrived = facts.select("event_id", "batch_id").join(valid, "event_id").withColumn("event_id", F.col("batch_id") * 10**10 + F.col("event_id"))
+    want = model.tables_from_events(arrived.drop("batch_id").persist(), validated=True)
+    for name, key in fanout.FIRST_WINS.items():
+        got = spark.read.parquet(f"{base}/{name}")
+        assert got.count() == got.select(key).distinct().count(), name
+        assert rows_text(got.select(*want[name].columns)) == rows_text(want[name]), name
+    assert {(r.n_rows == r.n_keys) for r in fanout.key_counts(spark, base).collect()} == {True}
+
+
+def test_a_replayed_batch_is_told_its_keys_again(spark, tables, tmpdir_path, monkeypatch):
+    base, events, write = f"{tmpdir_path}/wh", tables["events"], fanout._write
+    events.filter("event_id % 2 = 0").coalesce(1).write.parquet(f"{tmpdir_path}/in")
+    _stream(spark, events, tmpdir_path, base).awaitTermination()
+    events.filter("event_id % 2 = 1").coalesce(1).write.mode("append").parquet(f"{tmpdir_path}/in")
+
+    def failing(df, path, batch_id):
+        if path.endswith(("dim_source", "v_source_ip")):
+            raise OSError("disk gone")
+        write(df, path, batch_id)
+    with monkeypatch.context() as m:
+        m.setattr(fanout, "_write", failing)
+        with pytest.raises(StreamingQueryException):
+            _stream(spark, events, tmpdir_path, base).awaitTermination()
+    _stream(spark, events, tmpdir_path, base).awaitTermination()
+    for name, key in (("dim_source", "source_key"), ("v_source_ip", "ip"), ("dim_attack", "attack_key")):
+        got = spark.read.parquet(f"{base}/{name}")
+        assert got.count() == got.select(key).distinct().count() == tables[name].count(), name
+
+
+def test_seeds_and_missing_protocols_are_written_once(spark, tables, tmpdir_path):
+    """A seed that a later batch has for the first time is there already; events
+    without a protocol have one key in the dimension, another in the graph."""
+    base, one = f"{tmpdir_path}/wh", tables["events"].filter("label = 'BENIGN'").limit(1)
+    say = [("BENIGN", None), ("DDoS", "OTHER"), ("Made up", None)]
+    for k, (label, protocol) in enumerate(say):
+        one.withColumn("label", F.lit(label)).withColumn("protocol", F.lit(protocol).cast("string")).withColumn("event_id", F.lit(k).cast("bigint")) \
+            .coalesce(1).write.mode("append").parquet(f"{tmpdir_path}/in")
+        _stream(spark, tables["events"], tmpdir_path, base).awaitTermination()
+    labels = [r.attack_label for r in spark.read.parquet(f"{base}/dim_attack").collect()]
+    assert sorted(labels) == sorted({row[0] for row in L.ATTACK_SEEDS} | {"Made up"})
+    protocols = [r.protocol_name for r in spark.read.parquet(f"{base}/dim_protocol").collect()]
+    assert collections.Counter(protocols) == collections.Counter({row[0] for row in L.PROTOCOL_SEEDS} | {None, "OTHER"})
+    assert rows(spark.read.parquet(f"{base}/v_attack_type").select("label")) == [("BENIGN",), ("DDoS",), ("Made up",)]
+    assert rows(spark.read.parquet(f"{base}/v_protocol").select("name")) == [("OTHER",)]
