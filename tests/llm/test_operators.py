@@ -227,9 +227,10 @@ def test_redact(docs):
     assert pii.redact(docs).columns == docs.columns
 
 
-def test_licenses(docs, none):
+def license_rows(df, rules):
+    """Every template against every block of its length, by plain sets."""
     want = []
-    for i, t in rows_of(docs):
+    for i, t in rows_of(df):
         w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
         places, base, every, score = [], set(), set(), 0.0
         for phrase, label in licenses.BASE.items():
@@ -239,18 +240,49 @@ def test_licenses(docs, none):
             if at:
                 base.add(label)
                 score = 1.0
-        for rule in licenses.catalogue()[len(licenses.BASE):]:
-            for b in range(0, max(1, len(w)), licenses.STRIDE):
-                n = len(set(w[b:b + licenses.BLOCK]) & set(rule["words"]))
+        for rule in rules[len(licenses.BASE):]:
+            for b in range(0, max(1, len(w)), rule["length"] // 2):
+                n = len(set(w[b:b + rule["length"]]) & set(rule["words"]))
                 if n >= rule["need"]:
                     every.add(rule["label"])
                     score = max(score, n / len(rule["words"]))
         want.append((i, len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)),
                      ",".join(sorted(base | every)), score))
-    assert collections.Counter(map(tuple, licenses.scan(docs).collect())) == collections.Counter(want)
+    return collections.Counter(want)
+
+
+def test_licenses(docs, none):
+    assert collections.Counter(map(tuple, licenses.scan(docs).collect())) == license_rows(docs, licenses.catalogue())
     assert licenses.scan(none).count() == 0
 
 
+def test_long_licenses(spark):
+    """Templates of 170 and 600 different words, whole, damaged and cut, at any
+    place of a text, and the catalogue's own texts; templates come as a table."""
+    rng = random.Random(8)
+    made = [f"w{k}" for k in range(900)]
+    long, longer = rng.sample(made, 170), rng.sample(made, 600)
+    templates = [("long", " ".join(long), 0.8), ("longer", ", ".join(longer), 0.9), ("none", "of the", 0.5), ("short", "w1 w2 w3", 1.0)]
+    said = []
+    for before in (0, 1, 31, 100, 255, 256, 700):
+        fill = " ".join(rng.choices(["x", "y", "the", "w5"], k=before))
+        said += [f"{fill} {' '.join(long).upper()} {fill}", f"{fill} {' '.join(longer)}"]
+        for share in (0.75, 0.79, 0.8, 0.81, 0.95):
+            said.append(fill + " " + " ".join(w for w in long if rng.random() < share))
+            said.append(" ".join(longer[:int(600 * share)]) + " " + fill)
+    said += [None, "", "w1 w2 w3", "xw1 w2 w3", "\u00e9w1 w2 w3 w3\u00e9"]
+    df = spark.createDataFrame(list(enumerate(said)), "doc_id int, text string").repartition(3)
+    got = licenses.scan(df, spark.createDataFrame(templates, "label string, text string, share double")).collect()
+    assert collections.Counter(map(tuple, got)) == license_rows(df, licenses.catalogue(templates))
+    labels = {r.doc_id: r.labels for r in got}
+    assert all("long" in labels[k].split(",") for k in range(0, 7 * 12, 12)) and all("longer" in labels[k].split(",") for k in range(1, 7 * 12, 12))
+
+    own = [(0, "# " + licenses.MIT.replace("\n", "\n# ")), (1, "text before it " * 50 + licenses.ISC), (2, licenses.ZLIB + " and after" * 300)]
+    own = spark.createDataFrame(own, "doc_id int, text string")
+    assert {r.doc_id: r.labels for r in licenses.scan(own).collect()} == {0: "mit-notice,mit-text", 1: "isc-text", 2: "zlib-text"}
+    assert collections.Counter(map(tuple, licenses.scan(own).collect())) == license_rows(own, licenses.catalogue())
+
+
 def linked(n, edges, ids):
     root = list(range(n))
 
