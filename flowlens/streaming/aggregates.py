@@ -8,7 +8,6 @@ time zone UTC) and window bounds are cast back to NTZ.
 
 from __future__ import annotations
 
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..functions import lookups as L
 from ..operators import clean, validate
-from ..session import checkpoint_dir, read_or_none, scratch_path
+from ..session import checkpoint_dir, read_or_none
 from ..sources import adapter
 
 EVENT_SCHEMA = T.StructType([
@@ -90,19 +89,6 @@ def high_volume_sources(events: DataFrame, threshold: int = L.HIGH_VOLUME_THRESH
     return g.select("source_ip", "attack_count", ws)
 
 
-def run_available_now(agg: DataFrame, name: str | None = None, mode: str = "complete",
-                      checkpoint: str | None = None) -> DataFrame:
-    """Run a streaming aggregate over everything available into a memory
-    table and return that table (complete mode = the batch answer)."""
-    spark = agg.sparkSession
-    name = name or f"stream_{uuid.uuid4().hex[:8]}"
-    checkpoint = checkpoint or scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex[:8]}")
-    q = (agg.writeStream.format("memory").queryName(name).outputMode(mode)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.table(name)
-
-
 def emit_changes_to_table(agg: DataFrame, path: str, keys: list[str], checkpoint: str,
                           mode: str = "update", time_col: str = "window_start"):
     """Continuous change output kept as a keyed table.

@@ -42,13 +42,10 @@ def test_hourly_documents_incremental(tables):
     assert rows(merged.select(*cols)) == rows(nested.hourly_document_summary(docs).select(*cols))
 
 
-def test_stream_equals_batch(spark, tables):
-    stream = A.stream_flow_events_from_table(spark, SF_SMALL)
-    got = A.run_available_now(A.attack_rate_1min(stream))
-    batch = A.attack_rate_1min(tables["events"])
-    assert rows(got) == rows(batch)
-    got_p = A.run_available_now(A.protocol_rate_1min(A.stream_flow_events_from_table(spark, SF_SMALL)))
-    assert rows(got_p) == rows(A.protocol_rate_1min(tables["events"]))
-    hv = A.run_available_now(A.high_volume_sources(A.stream_flow_events_from_table(spark, SF_SMALL),
-                                                   threshold=1))
-    assert rows(hv) == rows(A.high_volume_sources(tables["events"], threshold=1))
+def test_stream_equals_batch(spark, tables, tmpdir_path):
+    for k, (build, key, opts) in enumerate([(A.attack_rate_1min, "attack_category", {}), (A.protocol_rate_1min, "protocol", {}),
+                                            (A.high_volume_sources, "source_ip", {"threshold": 1})]):
+        changes, want = build(A.stream_flow_events_from_table(spark, SF_SMALL), **opts), build(tables["events"], **opts)
+        A.emit_changes_to_table(changes, f"{tmpdir_path}/{k}", [key, "window_start"], f"{tmpdir_path}/ck{k}") \
+            .trigger(availableNow=True).start().awaitTermination()
+        assert rows(A.pull_query(spark, f"{tmpdir_path}/{k}", changes.schema).select(*want.columns)) == rows(want)
