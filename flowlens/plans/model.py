@@ -4,11 +4,14 @@
 events, quarantine, star schema, documents, graph, summaries) as a plan over
 the ``events`` parquet.  Nothing is collected; callers that reuse tables many
 times either persist them or write them with ``write_tables`` (to a shared
-folder) and read them back with ``read_tables``.
+folder) and read them back with ``read_tables``.  ``stored_tables`` writes each
+table when a query first reads it.
 """
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +43,9 @@ class Tables(dict):
         self[key] = df
         return df
 
+    def get(self, key, default=None):
+        return self[key] if key in self or key in self._builders else default
+
     def names(self) -> list[str]:
         return list(self._builders)
 
@@ -135,7 +141,7 @@ def write_tables(t: Tables, path: str, names: list[str] | None = None, parallel:
     models are built from it: lineage is cut there (a lost executor recomputes
     from the stored events, not from the raw input) and cleaning runs once.
     """
-    names = list(names or MODEL_ORDER)
+    names = list(MODEL_ORDER if names is None else names)
     spark = t["flow_events"].sparkSession
     if getattr(t, "validated", False):
         checked = t["events"].withColumn("_error", F.lit(None).cast("string"))
@@ -179,30 +185,75 @@ def read_tables(spark: SparkSession, path: str, names: list[str] | None = None)
     return t
 
 
-_STORED: dict = {}
+#: Projections of the events: tables built from these read the events themselves.
+NARROW = ("events", "fact_network_event", "documents", "graph_input")
 
 
-def stored_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    """All models for ``sf_dir``, written once per Spark application under
-    the shared checkpoint folder and read back; later calls reuse them.
+class StoredTables(Tables):
+    """All models for ``sf_dir``, each written whole under ``path`` when it is first
+    read, and read back from there.
 
-    Raw rows stay lazy (they are one projection of the input); everything
-    else is read from the written tables.
+    A query pays for the tables that it reads and for what they are built from,
+    not for all others: one of raw flows writes none, as these stay lazy (they are
+    one projection of the input).  Cleaned events are written once, before the first
+    model; dimensions, label sets and edges that other models are built from are
+    written before these.  One thread writes at a time.
     """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, path: str):
+        self._seen = Observation(), Observation()
+        self._lazy = build_tables(spark, sf_dir, self._seen)
+        super().__init__(tables_from_events(self._lazy["flow_events"])._builders)
+        self._spark, self._path, self._lock, self._models = spark, path, threading.RLock(), None
+        self["raw_flows"] = self._lazy["raw_flows"]
+        self.by_day = Tables({name: (lambda n: lambda _: self._with_day(n))(name) for name in BY_DAY})
+
+    def __missing__(self, key):
+        if key not in self._builders:
+            raise KeyError(key)
+        with self._lock:
+            if key not in self:
+                self[key] = self._stored(key)
+            return self[key]
+
+    def _events(self) -> Tables:
+        """The models over the stored events, which are written at the first call:
+        projections of them as such, all others as they are stored."""
+        with self._lock:
+            if self._models is None:
+                write_tables(self._lazy, self._path, [])
+                built = tables_from_events(read_table(self._spark, self._path, "events"), validated=True)
+                self._models = Tables({n: fn if n in NARROW or n == "flow_events" else (lambda n: lambda _: self[n])(n)
+                                       for n, fn in built._builders.items()})
+            return self._models
+
+    def _stored(self, name: str) -> DataFrame:
+        models = self._events()
+        if name == "graph_input":
+            return models[name]
+        if name not in ("flow_events", "events", "rejected"):
+            _writer(self._builders[name](models), name).mode("overwrite").parquet(f"{self._path}/{name}")
+        return read_table(self._spark, self._path, name)
+
+    def _with_day(self, name: str) -> DataFrame:
+        self[name]
+        return self._spark.read.parquet(f"{self._path}/{name}")
+
+    @property
+    def cleaning(self) -> dict:
+        self._events()
+        return clean.clean_stats(self._seen)
+
+
+_STORED: dict = {}
+
+
+def stored_tables(spark: SparkSession, sf_dir: str) -> StoredTables:
+    """All models for ``sf_dir``, each written once per Spark application under
+    the shared checkpoint folder, when first read; later calls reuse them."""
     from ..session import scratch_path
     key = (spark.sparkContext.applicationId, spark._jsparkSession.hashCode(), sf_dir)
     if key not in _STORED:
         import uuid
-        seen = Observation(), Observation()
-        lazy = build_tables(spark, sf_dir, seen)
-        path = scratch_path(spark, f"warehouse-{uuid.uuid4().hex[:12]}")
-        write_tables(lazy, path)
-        st = tables_from_events(read_table(spark, path, "events"), validated=True,
-                                raw=lazy["raw_flows"])
-        stored = read_tables(spark, path, ["flow_events", *MODEL_ORDER])
-        st.update(stored)
-        st.by_day = stored.by_day
-        st.cleaning = clean.clean_stats(seen)
-        st["raw_flows"] = lazy["raw_flows"]
-        _STORED[key] = st
+        _STORED[key] = StoredTables(spark, sf_dir, scratch_path(spark, f"warehouse-{uuid.uuid4().hex[:12]}"))
     return _STORED[key]

@@ -197,3 +197,29 @@ def test_reconcile_finds_planted_changes(spark, tables):
     assert [(r["view"], r.a, r.b, r.total_bytes_graph - r.total_bytes_star) for r in found] == [("e_attacked", src, dst, 1)]
     fact = held["fact_network_event"].withColumn("attack_key", F.when(F.col("event_id") == doc.event_id, 0).otherwise(F.col("attack_key")))
     assert {r["view"] for r in R.differing_keys(dict(held, fact_network_event=fact), 64).collect()} == {"e_used_attack", "e_targeted_by", "e_active_in"}
+
+
+def test_a_query_writes_only_what_it_reads(spark, tmpdir_path):
+    """Tables are stored when first read, with what they are built from, once;
+    a query of raw flows stores none."""
+    import os
+
+    from flowlens.plans import model
+    from flowlens.plans.registry import registry
+    rows = [(i, f"2024-01-0{1 + i % 3} 0{i % 9}:00:00", 100 + i % 7, ("error", "view", "signup")[i % 3], 1.5 * i, f'{{"k": {i % 11}}}') for i in range(200)]
+    spark.createDataFrame(rows, "event_id bigint, ts string, user_id bigint, event_type string, value double, props string") \
+        .withColumn("ts", F.col("ts").cast("timestamp_ntz")).write.parquet(f"{tmpdir_path}/in/events.parquet")
+    t, lazy = model.StoredTables(spark, f"{tmpdir_path}/in", f"{tmpdir_path}/wh"), model.build_tables(spark, f"{tmpdir_path}/in")
+    queries = registry()
+
+    def held():
+        return set(os.listdir(f"{tmpdir_path}/wh")) if os.path.exists(f"{tmpdir_path}/wh") else set()
+
+    want = set()
+    for name, stored in (("protocol_share", set()), ("log_level_counts", set()), ("e_attacked", {model.CHECKED, "e_attacked"}),
+                         ("edge_merge_two_batches", set()), ("q2_s", {"summary_attack_hourly", "dim_attack"}),
+                         ("v_label_set", {"v_label_set", "e_has_label_set", "e_used_attack"})):
+        got = sorted(map(str, queries[name](t).collect()))
+        assert held() == (want := want | stored), name
+        assert got and got == sorted(map(str, queries[name](lazy).collect())), name
+    assert t.cleaning["rows_before"] == 200 and t.cleaning["rows_after"] == t["flow_events"].count()
