@@ -22,6 +22,7 @@ from ..session import read_or_none
 from .summaries import hour_of_key
 
 ROW_BITS = 33  # of monotonically_increasing_id; the bits above are the partition
+TASK_ROWS = 1 << 16  # rows that a task makes bitmaps of, so at most as many bitmaps (of 4 KB each)
 
 
 def numbered(rows: DataFrame, order: list[str], path: str) -> DataFrame:
@@ -67,13 +68,20 @@ def extend_serials(batch: DataFrame, keys: list[str], arrival: str, base: str, b
 
 # --------------------------------------------------------- distinct as bitmaps
 
-def source_bitmaps(fact: DataFrame, numbers: DataFrame, by: dict[str, Column]) -> DataFrame:
+def source_bitmaps(fact: DataFrame, numbers: DataFrame, by: dict[str, Column], together: list[str] | None = None) -> DataFrame:
     """The sources of each group as bitmaps: the group's columns, ``stretch`` and
     ``sources``.  ``numbers`` holds source_key and serial.  Rows are reduced to
-    distinct keys before they meet the numbers."""
+    distinct keys before they meet the numbers.
+
+    A bitmap takes 4 KB for a few sources, so the numbers are shuffled and not the
+    bitmaps: groups alike in ``together`` (all of ``by``) and ``stretch`` are dealt to
+    one task, where coarser groups by these columns merge without a shuffle.  The
+    tasks rise with the rows; their memory doesn't."""
     distinct = fact.select(*[c.alias(n) for n, c in by.items()], "source_key").distinct()
-    return (distinct.join(numbers.select("source_key", "serial"), "source_key")
-            .groupBy(*by, F.bitmap_bucket_number("serial").alias("stretch"))
+    numbered = distinct.join(numbers.select("source_key", "serial"), "source_key") \
+        .withColumn("stretch", F.bitmap_bucket_number("serial"))
+    tasks = -(-fact.count() // TASK_ROWS) or 1
+    return (numbered.repartition(tasks, *(by if together is None else together), "stretch").groupBy(*by, "stretch")
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("serial")).alias("sources")))
 
 
@@ -88,5 +96,5 @@ def distinct_sources(bitmaps: DataFrame, by: list[str]) -> DataFrame:
 
 
 def hourly_source_bitmaps(fact: DataFrame, numbers: DataFrame) -> DataFrame:
-    return source_bitmaps(fact, numbers, {"hour_bucket": hour_of_key(), "attack_key": F.col("attack_key")})
+    return source_bitmaps(fact, numbers, {"hour_bucket": hour_of_key(), "attack_key": F.col("attack_key")}, ["attack_key"])
 

@@ -56,6 +56,19 @@ def test_bitmaps_merge_over_hours_and_batches(spark, tables, tmpdir_path):
     assert serial.distinct_sources(both.withColumn("all", F.lit(1)), ["all"]).first().unique_sources == fact.select("source_key").distinct().count()
 
 
+def test_bitmaps_are_not_shuffled(tables, tmpdir_path):
+    """Numbers are dealt out once by label and stretch; hours and days are made of them there."""
+    fact = tables["fact_network_event"]
+    numbers = serial.extend_serials(fact, ["source_key"], "event_id", tmpdir_path, 0)
+    daily = serial.hourly_source_bitmaps(fact, numbers).withColumn("day", F.to_date("hour_bucket"))
+    merged = serial.merge_bitmaps(daily, ["day", "attack_key"])
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert "partial_bitmap_or_agg" in plan and "Exchange" not in plan[:plan.index("partial_bitmap_construct_agg")], plan
+    got = {(r.day, r.attack_key): r.unique_sources for r in serial.distinct_sources(daily, ["day", "attack_key"]).collect()}
+    assert got == {(r.day, r.attack_key): r.n for r in fact.groupBy(summaries.day_of_key().alias("day"), "attack_key")
+                   .agg(F.count_distinct("source_key").alias("n")).collect()}
+
+
 def test_audit_finds_planted_faults(spark, tables):
     keys = {"dim_time": "time_key", "dim_source": "source_key", "dim_attack": "attack_key"}
     dims = {n: (tables[n], k) for n, k in keys.items()}
