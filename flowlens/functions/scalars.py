@@ -61,10 +61,10 @@ def decimal_to_ip(x, numeric: bool = False) -> Column:
 
 
 def ip_to_decimal(ip) -> Column:
-    """IPv4 text -> its number as BIGINT; null for anything else."""
+    """IPv4 text -> its number as BIGINT; null for anything else.  The text is
+    split once: parts taken one by one inside a condition are each split anew."""
     ip = _c(ip)
-    parts = [tc(F.split_part(ip, F.lit("."), F.lit(k)), "bigint") for k in (1, 2, 3, 4)]
-    total = ((parts[0] * 256 + parts[1]) * 256 + parts[2]) * 256 + parts[3]
+    total = F.aggregate(F.split(ip, r"\."), F.lit(0).cast("bigint"), lambda n, part: n * 256 + part.cast("bigint"))
     return F.when(is_ipv4(ip), total)
 
 

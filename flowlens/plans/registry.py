@@ -149,7 +149,9 @@ def _message_round_trip(t) -> DataFrame:
 
 def _fanned_out(t) -> str:
     """Folder of every model after all flow events have come as messages, each sent
-    twice, with the unlabelled raw flows as messages that don't parse."""
+    twice, with the unlabelled raw flows as messages that don't parse.  Messages
+    are parsed and counted once by a first stream; the fan-out reads its source
+    twice, so it streams over the table of those."""
     from ..sources import messages as M
     from ..streaming import fanout
     if getattr(t, "fanned_out", None) is None:
@@ -159,8 +161,11 @@ def _fanned_out(t) -> str:
             .select(F.to_json(F.struct(F.col("event_id").cast("string").alias("message_id"), F.col("ts_raw").alias("timestamp"))).alias("value"))
         for _ in range(2):
             M.to_message(t["flow_events"], "event_id").select("value").unionByName(unlabelled).write.mode("append").text(f"{folder}/in")
-        files = spark.read.text(f"{folder}/in").select("_metadata.file_path").distinct().count()
-        stream = M.counted_once(M.stream_messages(spark, f"{folder}/in", -(-files // 3)))
+        files = len(spark.read.text(f"{folder}/in").inputFiles())
+        once = M.counted_once(M.stream_messages(spark, f"{folder}/in", -(-files // 3)))
+        arrived = M.store_stream(once, f"{folder}/arrived", f"{folder}/arrived-checkpoint")
+        per_batch = max(1, -(-len(arrived.inputFiles()) // 3))
+        stream = spark.readStream.schema(arrived.schema).option("maxFilesPerTrigger", per_batch).parquet(f"{folder}/arrived")
         fanout.fanout_stream(stream, f"{folder}/models", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
         t.fanned_out = f"{folder}/models"
     return t.fanned_out

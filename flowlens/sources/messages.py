@@ -37,7 +37,10 @@ def parse_messages(lines: DataFrame, value_col: str = "value", seq_col: str | No
     Without ``seq_col`` the event_id stays null until :func:`sequenced`."""
     parsed = F.from_json(F.col(value_col), MESSAGE_SCHEMA, {"mode": "PERMISSIVE"})
     df = lines.select("*", parsed.alias("m"))
-    is_sentinel = F.col("m._sentinel") == F.lit(L.END_OF_STREAM)
+    # Spark evaluates the filter before it parses the line for its fields, so a
+    # line is parsed twice unless its text tells that it is no sentinel
+    may_be = F.col(value_col).contains(L.END_OF_STREAM) | F.col(value_col).contains("\\")
+    is_sentinel = may_be & (F.col("m._sentinel") == F.lit(L.END_OF_STREAM))
     err = (F.when(F.col("m").isNull() | F.json_object_keys(F.col(value_col)).isNull(),
                   F.lit("not a JSON object"))
            .when(F.col("m.timestamp").isNull(), F.lit("missing timestamp"))
@@ -98,12 +101,23 @@ def write_messages(events: DataFrame, path: str, key: str | None = None) -> None
 def stream_messages(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None):
     """Streaming source over a folder of JSON-lines files: parsed events with
     ``_parse_error``; the sentinel record is dropped.  Arrival ids are given to
-    each micro-batch by :func:`sequenced`, as the fan-out does."""
+    each micro-batch by :func:`sequenced`, as the fan-out does.  The text stays
+    with the lines that don't parse alone: it is longer than its event, and
+    would be shuffled and kept with it."""
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     lines = r.load(directory)
-    return parse_messages(lines, "value")
+    return parse_messages(lines, "value").withColumn("value", F.when(F.col("_parse_error").isNotNull(), F.col("value")))
+
+
+def store_stream(messages: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Appends a stream of parsed messages to a table until its source has no
+    more, and returns the table.  Streams over it parse nothing, however
+    often they read it."""
+    messages.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint) \
+        .trigger(availableNow=True).start().awaitTermination()
+    return messages.sparkSession.read.schema(messages.schema).parquet(path)
 
 
 def counted_once(parsed: DataFrame, horizon: str = "1 day") -> DataFrame:

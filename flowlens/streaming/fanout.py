@@ -1,6 +1,6 @@
 """One micro-batch into every model (the consumer's fan-out).
 
-``foreachBatch`` persists the batch once, splits good and quarantined rows,
+``foreachBatch`` persists the checked batch once, splits good and quarantined rows,
 and writes each model under ``batch_id=<n>``; a replayed batch overwrites the
 same directory, so delivery is effectively exactly-once.  A failing model
 write does not stop the others; a ledger keeps what each batch has written, so
@@ -19,6 +19,7 @@ import logging
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,28 +58,35 @@ def _model_keys() -> dict[str, F.Column]:
     }
 
 
+#: Arrow batches whose keys are made distinct together before they are shuffled.
+DISTINCT_OVER = 16
+
+
 def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        yield from rows.group_by(rows.column_names).aggregate([]).select(rows.column_names).to_batches()
+    """(_model, _key) of rows that hold the key of each model in a column of its
+    name: distinct over ``DISTINCT_OVER`` batches, which are all that is held."""
+    while held := list(islice(batches, DISTINCT_OVER)):
+        rows = pa.Table.from_batches(held)
+        for name in rows.column_names:
+            keys = rows[name].unique().cast(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(name), len(keys)), keys], ["_model", "_key"])
 
 
 def unseen_keys(events: DataFrame, trusted_lookups: bool = False) -> DataFrame:
     """(_model, _key) of an event stream: the keys of each first-write-wins model
     that no earlier micro-batch has had, told once.
 
-    Only valid events count, as only they are written.  Keys are made distinct in
-    each Arrow batch before they are shuffled, so a label of a third of all events
-    ships a row for each of its Arrow batches.  The state holds every key of these models
+    Only valid events count, as only they are written.  An event is one row with
+    its keys as columns until they are made distinct, over some Arrow batches at
+    a time and before they are shuffled, so a label of a third of all events
+    ships a row for each of these.  The state holds every key of these models
     for good, in RocksDB, and is restored from the checkpoint: a replayed batch is
     told the same keys again.
     """
     keep_state_on_disk(events.sparkSession)
     if "_parse_error" in events.columns:
         events = events.filter(F.col("_parse_error").isNull())
-    held = F.explode(F.array(*[F.struct(F.lit(name).alias("_model"), key.cast("string").alias("_key"))
-                               for name, key in _model_keys().items()])).alias("k")
-    keys = validate.valid_events(events, trusted_lookups).select(held).select("k.*")
+    keys = validate.valid_events(events, trusted_lookups).select(*[key.alias(name) for name, key in _model_keys().items()])
     return keys.mapInArrow(_distinct, "_model string, _key string").dropDuplicates(["_model", "_key"])
 
 
@@ -119,7 +127,6 @@ def write_models(batch: DataFrame, batch_id: int, base: str, trusted_lookups: bo
     """
     spark = batch.sparkSession
     done = written_models(spark, base, batch_id)
-    batch = batch.persist()
     checked = validate.with_errors(batch, trusted_lookups).persist()
     try:
         good = checked.filter(F.col("_error").isNull()).drop("_error")
@@ -155,7 +162,6 @@ def write_models(batch: DataFrame, batch_id: int, base: str, trusted_lookups: bo
             _write(spark.createDataFrame(rows, "model string").coalesce(1), f"{base}/ledger", batch_id)
     finally:
         checked.unpersist()
-        batch.unpersist()
     return status
 
 

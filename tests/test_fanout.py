@@ -258,3 +258,21 @@ def test_seeds_and_missing_protocols_are_written_once(spark, tables, tmpdir_path
     assert collections.Counter(protocols) == collections.Counter({row[0] for row in L.PROTOCOL_SEEDS} | {None, "OTHER"})
     assert rows(spark.read.parquet(f"{base}/v_attack_type").select("label")) == [("BENIGN",), ("DDoS",), ("Made up",)]
     assert rows(spark.read.parquet(f"{base}/v_protocol").select("name")) == [("OTHER",)]
+
+
+def test_keys_are_distinct_over_several_arrow_batches():
+    """A model's keys are told once for the batches held together, as text; null is a key."""
+    import pyarrow as pa
+    batches = [pa.RecordBatch.from_pydict({"a": [1, 2, None], "b": ["x", "x", "y"]})] * (fanout.DISTINCT_OVER + 1)
+    told = [r for b in fanout._distinct(iter(batches)) for r in b.to_pylist()]
+    once = [("a", "1"), ("a", "2"), ("a", None), ("b", "x"), ("b", "y")]
+    assert collections.Counter((r["_model"], r["_key"]) for r in told) == collections.Counter(once * 2)
+
+
+def test_a_refresh_writes_few_files_a_day(spark, tables, tmpdir_path):
+    facts = tables["fact_network_event"].repartition(8).withColumn("batch_id", F.lit(0)).persist()
+    dims = {n: tables[n] for n in ("dim_source", "dim_attack", "dim_protocol")}
+    assert set(incremental.refresh_all(dims, facts, tmpdir_path, 0).values()) == {"ok"}
+    for name in incremental.STATES:
+        days = collections.Counter(os.path.dirname(f) for f in spark.read.parquet(f"{tmpdir_path}/states/{name}").inputFiles())
+        assert set(days.values()) == {1}, name

@@ -164,3 +164,11 @@ def test_lookup_values_fit_declared_lengths():
     assert max(map(len, L.PROTOCOL_NAMES.values())) <= LENGTH_LIMITS["protocol"]
     assert max(map(len, L.VALID_SEVERITIES)) <= LENGTH_LIMITS["severity"]
     assert max(len(c) for c, _, _ in L.COUNTRY_WEIGHTS) <= LENGTH_LIMITS["source_country"]
+
+
+def test_an_address_is_split_once(spark):
+    say = [("0.0.0.0", 0), ("255.255.255.255", 2**32 - 1), ("10.1.2.3", 167838211), ("1.2.3", None), ("1.2.3.4.5", None),
+           ("1.2.3.256", None), ("a.b.c.d", None), ("", None), (None, None), (" 1.2.3.4", None), ("01.2.3.4", None)]
+    df = spark.createDataFrame(say, "ip string, want bigint").select("want", S.ip_to_decimal("ip").alias("got"))
+    assert [r.got for r in df.collect()] == [n for _, n in say]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("split") <= 1

@@ -195,3 +195,13 @@ def test_logs(spark, tmpdir_path):
     assert {r.service for r in only} == {"consumer"}
     lv = {(r.service, r.level): r["count"] for r in logs.log_level_counts(lines).collect()}
     assert lv[("producer", "INFO")] == 10 and lv[("consumer", "ERROR")] == 1
+
+
+def test_text_stays_with_broken_lines_alone(spark, tmpdir_path):
+    """A stored stream has the text of the lines that don't parse; a sentinel counts however it is escaped."""
+    good = '{"timestamp":"2024-01-01T00:00:00","label":"BENIGN","source_ip":"END_OF_STREAM"}'
+    end = ['{"_sentinel":"END_OF_STREAM"}', '{"_sentinel":"END\\u005fOF_STREAM"}', '{"_sentinel" : "END_OF_STREAM", "total_records":1}']
+    spark.createDataFrame([(v,) for v in [good, "broken", *end]], "value string").write.text(f"{tmpdir_path}/in")
+    got = M.store_stream(M.stream_messages(spark, f"{tmpdir_path}/in"), f"{tmpdir_path}/out", f"{tmpdir_path}/ck")
+    assert sorted((r.value or "", r._parse_error or "", r.label or "") for r in got.collect()) == \
+        [("", "", "BENIGN"), ("broken", "not a JSON object", "")]
