@@ -20,6 +20,7 @@ Days are a calendar: lists of days are all that reaches the driver.
 from __future__ import annotations
 
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,9 @@ from ..session import read_or_none
 from . import star, summaries, upsert
 from .summaries import _exact, day_of_key, hour_of_key, total_bytes, with_threat_score
 
+#: The columns of the fact that states are made from.
+FACT_COLUMNS = ["time_key", "source_key", "dest_key", "attack_key", "protocol_key", "fwd_bytes", "bwd_bytes", "flow_duration", "is_attack"]
+
 STATES = {
     "sources": ["hour_bucket", "attack_key", "source_key"],
     "targets": ["source_key", "dest_key"],
@@ -141,46 +145,58 @@ def _days(spark: SparkSession, base: str, name: str, versions: dict[dt.date, int
 
 def _write(df: DataFrame, base: str, name: str, refresh: int) -> None:
     """The columns are kept apart: a table without rows yet (no attack has come
-    in) has no file to read them from."""
+    in) has no file to read them from.  Rows are brought together by day before
+    they are written (a busy day is several files): else each task of a shuffle
+    writes a file for each day, and the next refresh and the summaries read
+    tasks times days of them."""
     spark = df.sparkSession
     if read_or_none(spark, f"{base}/schema/{name}") is None:
         spark.createDataFrame([], df.schema).write.mode("overwrite").parquet(f"{base}/schema/{name}")
-    df.write.mode("overwrite").partitionBy("day").parquet(f"{base}/{name}/refresh={refresh}")
+    df.hint("rebalance", "day").write.mode("overwrite").partitionBy("day").parquet(f"{base}/{name}/refresh={refresh}")
 
 
-def refresh_all(t: dict[str, DataFrame], batches: DataFrame, base: str, refresh: int) -> dict[str, str]:
+def refresh_all(t: dict[str, DataFrame], batches: DataFrame, base: str, refresh: int, parallel: int = 4) -> dict[str, str]:
     """Bring all six summaries under ``base`` up to the batches up to ``refresh``.
 
     ``batches`` holds the fact rows of all batches with their ``batch_id``, of
     which only those after the last refresh are read; ``t`` has the dimensions.
     ``refresh`` has to rise (a batch id does).  Returns {summary: 'ok' | error
-    text}; what fails is made up for by the next refresh.
+    text}; what fails is made up for by the next refresh.  The new rows are read
+    once, for all states; the writes of the states, and then of the summaries, are
+    independent jobs, ``parallel`` of them submitted at a time.
     """
     spark = batches.sparkSession
     states = _ledger(spark, base, "states")
-    fresh = batches.filter((F.col("batch_id") > max(states.values(), default=-1)) & (F.col("batch_id") <= refresh))
-    days = [r["day"] for r in fresh.select(day_of_key().alias("day")).distinct().collect()]
-    if days:
-        old = {d: states[d] for d in days if d in states}
-        for name, part in partial_states(fresh).items():
-            if old:
-                part = merge_states(_days(spark, base, f"states/{name}", old).select(*part.columns), part, name)
-            _write(part, base, f"states/{name}", refresh)
-        _commit(spark, base, "states", days, refresh)
-        states |= dict.fromkeys(days, refresh)
-    status = {}
-    for name, build in BUILDERS.items():
+    fresh = batches.filter((F.col("batch_id") > max(states.values(), default=-1)) & (F.col("batch_id") <= refresh)).select(*FACT_COLUMNS).persist()
+    try:
+        days = [r["day"] for r in fresh.select(day_of_key().alias("day")).distinct().collect()]
+        if days:
+            old = {d: states[d] for d in days if d in states}
+
+            def add(name: str, part: DataFrame) -> None:
+                if old:
+                    part = merge_states(_days(spark, base, f"states/{name}", old).select(*part.columns), part, name)
+                _write(part, base, f"states/{name}", refresh)
+            with ThreadPoolExecutor(max_workers=parallel) as pool:
+                list(pool.map(lambda held: add(*held), partial_states(fresh).items()))
+            _commit(spark, base, "states", days, refresh)
+            states |= dict.fromkeys(days, refresh)
+    finally:
+        fresh.unpersist()
+
+    def build(name: str) -> str:
         have = _ledger(spark, base, name)
         due = {d: r for d, r in states.items() if have.get(d, -1) < r}
         try:
             if due:
                 merged = _Lazy(spark, base, due)
-                _write(build(merged, t), base, name, refresh)
+                _write(BUILDERS[name](merged, t), base, name, refresh)
                 _commit(spark, base, name, list(due), refresh)
-            status[name] = "ok"
+            return "ok"
         except Exception as e:  # noqa: BLE001 - one summary must not stop the others
-            status[name] = str(e)
-    return status
+            return str(e)
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        return dict(zip(BUILDERS, pool.map(build, BUILDERS)))
 
 
 class _Lazy(dict):
