@@ -20,6 +20,12 @@ MESSAGE_SCHEMA = T.StructType(EVENT_SCHEMA.fields + [
     T.StructField("_sentinel", T.StringType()), T.StructField("total_records", T.LongType()),
     T.StructField("message_id", T.StringType())])
 
+#: Field of a parsed line that holds its text where the line or one of its values doesn't parse.
+BROKEN = "_broken"
+
+# bytes beyond which from_json takes texts that json_object_keys doesn't
+LONG_LINE = 1_000_000
+
 
 def to_message(events: DataFrame, key: str | None = None) -> DataFrame:
     """Events -> JSON text (ISO timestamps), the published form.  ``key`` is a
@@ -34,22 +40,32 @@ def to_message(events: DataFrame, key: str | None = None) -> DataFrame:
 
 def parse_messages(lines: DataFrame, value_col: str = "value", seq_col: str | None = None) -> DataFrame:
     """JSON text -> typed events + ``_parse_error`` (null when the line is good).
-    Without ``seq_col`` the event_id stays null until :func:`sequenced`."""
-    parsed = F.from_json(F.col(value_col), MESSAGE_SCHEMA, {"mode": "PERMISSIVE"})
-    df = lines.select("*", parsed.alias("m"))
-    # Spark evaluates the filter before it parses the line for its fields, so a
-    # line is parsed twice unless its text tells that it is no sentinel
-    may_be = F.col(value_col).contains(L.END_OF_STREAM) | F.col(value_col).contains("\\")
-    is_sentinel = may_be & (F.col("m._sentinel") == F.lit(L.END_OF_STREAM))
-    err = (F.when(F.col("m").isNull() | F.json_object_keys(F.col(value_col)).isNull(),
-                  F.lit("not a JSON object"))
+    Without ``seq_col`` the event_id stays null until :func:`sequenced`.
+
+    A line is parsed once: its record is a generated row, since filters are put
+    below a projection and would parse the line (and write a message's text) again
+    for each field they ask for.  Only a line that isn't plain JSON of this schema is
+    parsed again, with NaN and infinity as numbers, and asked for its keys, which tell
+    whether it is an object."""
+    value, schema = F.col(value_col), T.StructType(MESSAGE_SCHEMA.fields + [T.StructField(BROKEN, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN}
+    plain = F.array(F.from_json(value, schema, {**options, "allowNonNumericNumbers": "false"}))
+
+    def looked_at_again(m):
+        sure = m[BROKEN].isNull() & m["timestamp"].isNotNull() & (F.octet_length(value) <= LONG_LINE)
+        again = F.struct(F.from_json(value, schema, options).alias("m"), F.json_object_keys(value).isNotNull().alias("is_object"))
+        return F.when(sure, F.struct(m.alias("m"), F.lit(True).alias("is_object"))).otherwise(again)
+
+    df = lines.select("*", F.inline(F.transform(plain, looked_at_again)))
+    is_sentinel = F.col("m._sentinel") == F.lit(L.END_OF_STREAM)
+    err = (F.when(F.col("m").isNull() | ~F.col("is_object"), F.lit("not a JSON object"))
            .when(F.col("m.timestamp").isNull(), F.lit("missing timestamp"))
            .when(S.iso_parse(F.col("m.timestamp")).isNull(), F.lit("timestamp is not parsable"))
            .when(F.col("m.label").isNull(), F.lit("missing label")))
     out = df.filter(~F.coalesce(is_sentinel, F.lit(False))).select(
         *( [F.col(seq_col).alias("event_id")] if seq_col else
            [F.lit(None).cast("bigint").alias("event_id")]),
-        F.col(value_col).alias("value"), F.col("m.message_id").alias("message_id"),
+        value.alias("value"), F.col("m.message_id").alias("message_id"),
         *[F.col(f"m.{f}").alias(f) for f in EVENT_SCHEMA.fieldNames() if f != "timestamp"],
         S.iso_parse(F.col("m.timestamp")).alias("timestamp"),
         err.alias("_parse_error"))

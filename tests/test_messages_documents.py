@@ -57,3 +57,29 @@ def test_edge_partial_aggregate_and_weekday(spark):
     assert e["count"] == 2 and e["total_bytes"] == 450
     tw = graph.v_time_window(g).first()
     assert tw.day_of_week == 2 and tw.month == 7 and tw.year == 2017   # weekday, not day 5
+
+
+def test_a_message_is_written_and_parsed_once(spark, tables):
+    """Filters on a parsed line don't write its text or parse it again for each field."""
+    trip = M.good_events(M.parse_messages(M.to_message(tables["flow_events"]), "value", "event_id"))
+    plan = trip._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("StructsToJson") == 1, plan
+    # the second is that of lines that aren't plain JSON
+    assert plan.count("from_json(") == 2 and plan.count("jsonObjectKeys(") == 1, plan
+    assert plan.index("Filter (NOT coalesce((m#") < plan.index("Generate inline(transform(array(from_json("), plan
+
+
+def test_lines_that_are_no_plain_json(spark):
+    """They are parsed again: numbers JSON doesn't have, given as text, are read; others tell no object."""
+    good = json.dumps(SAMPLE)
+    cases = [(good, None), (json.dumps({**SAMPLE, "flow_bytes_per_sec": "NaN"}), None), (json.dumps({**SAMPLE, "label": "NaN"}), None),
+             (json.dumps({**SAMPLE, "source_port": "x"}), None), (good.replace('"', "'"), None), (good + " more", None),
+             (json.dumps({**SAMPLE, "flow_bytes_per_sec": float("nan")}), "not a JSON object"),
+             (json.dumps({**SAMPLE, "other": float("-inf")}), "not a JSON object"), (f"[{good}]", "not a JSON object"),
+             (good[:-1], "not a JSON object"), ("null", "not a JSON object"), ("", "not a JSON object"), (None, "not a JSON object"),
+             ("{}", "missing timestamp"), (json.dumps({**SAMPLE, "timestamp": "x"}), "timestamp is not parsable"),
+             (json.dumps({**SAMPLE, "label": None}), "missing label")]
+    df = spark.createDataFrame([(i, s) for i, (s, _) in enumerate(cases)], "seq long, value string")
+    got = {r.event_id: r for r in M.parse_messages(df, "value", "seq").collect()}
+    assert {i: r._parse_error for i, r in got.items()} == {i: e for i, (_, e) in enumerate(cases)}
+    assert str(got[1].flow_bytes_per_sec) == "nan" and got[3].source_port is None and got[4][3:] == got[0][3:]
